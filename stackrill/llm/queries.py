@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality
+from . import exact_dedup, mixing, packing, quality, simhash
 
 
 def _table(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -16,6 +16,8 @@ def _table(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[Spar
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": _table("documents", quality.op1_query),
+        "op2_best_fit_packing": _table("documents", packing.op2_query),
+        "op3_simhash_near_dedup": _table("documents", simhash.op3_query),
         "op4_exact_dedup": _table("documents", exact_dedup.op4_query),
         "op8_source_mixing": _table("documents", mixing.op8_query),
     }
