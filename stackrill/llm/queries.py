@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, simhash
+from . import exact_dedup, mixing, packing, quality, simhash, warc
 
 
 def _table(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_near_dedup": _table("documents", simhash.op3_query),
         "op4_exact_dedup": _table("documents", exact_dedup.op4_query),
         "op8_source_mixing": _table("documents", mixing.op8_query),
+        "op10_warc": _table("pages", warc.op10_query),
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": quality.OP1_SQL,
         "op4_exact_dedup": exact_dedup.OP4_SQL,
         "op8_source_mixing": mixing.OP8_SQL,
+        "op10_warc": warc.OP10_SQL,
     }
