@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, simhash, warc
+from . import exact_dedup, mixing, packing, quality, secret_scan, simhash, warc
 
 
 def _table(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": _table("documents", packing.op2_query),
         "op3_simhash_near_dedup": _table("documents", simhash.op3_query),
         "op4_exact_dedup": _table("documents", exact_dedup.op4_query),
+        "op6_secret_scan": _table("documents", secret_scan.op6_query),
         "op8_source_mixing": _table("documents", mixing.op8_query),
         "op10_warc": _table("pages", warc.op10_query),
     }
@@ -28,6 +29,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": quality.OP1_SQL,
         "op4_exact_dedup": exact_dedup.OP4_SQL,
+        "op6_secret_scan": secret_scan.OP6_SQL,
         "op8_source_mixing": mixing.OP8_SQL,
         "op10_warc": warc.OP10_SQL,
     }
