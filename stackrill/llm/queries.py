@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, quality, secret_scan, simhash, warc
+from . import exact_dedup, langid, mixing, packing, quality, secret_scan, simhash, toxicity, warc
 
 
 def _table(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,7 +20,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_near_dedup": _table("documents", simhash.op3_query),
         "op4_exact_dedup": _table("documents", exact_dedup.op4_query),
         "op6_secret_scan": _table("documents", secret_scan.op6_query),
+        "op7_language_id": _table("documents", langid.op7_query),
         "op8_source_mixing": _table("documents", mixing.op8_query),
+        "op9_toxicity": lambda spark, sf_dir: toxicity.op9_query(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))),
         "op10_warc": _table("pages", warc.op10_query),
     }
 
