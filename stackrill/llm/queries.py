@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, packing, quality, secret_scan, simhash, toxicity, warc
+from . import exact_dedup, langid, mixing, packing, passages, quality, secret_scan, simhash, toxicity, warc
 
 
 def _table(name: str, query: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": _table("documents", packing.op2_query),
         "op3_simhash_near_dedup": _table("documents", simhash.op3_query),
         "op4_exact_dedup": _table("documents", exact_dedup.op4_query),
+        "op5_near_passages": _table("documents", passages.op5_query),
         "op6_secret_scan": _table("documents", secret_scan.op6_query),
         "op7_language_id": _table("documents", langid.op7_query),
         "op8_source_mixing": _table("documents", mixing.op8_query),
