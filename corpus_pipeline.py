@@ -1,8 +1,62 @@
-"""A corpus pipeline over ``documents``."""
+"""A corpus pipeline over ``documents``: each stage reads what the one before it wrote.
 
-STAGES = []
+Quality rules, exact dedup, SimHash near-dedup, mixing to source weights, best-fit packing. All but
+the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from stackrill.llm import exact_dedup, mixing, packing, quality, simhash
+from stackrill.llm.common import scratch
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule rejects."""
+    judged = quality.quality_cascade(docs, out="sr_quality", stats=False)
+    return judged.where("sr_quality.kept").select(*docs.columns)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the largest id."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the least id."""
+    return simhash.drop_near_copies(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document as often as its source's target takes it."""
+    return mixing.take_mix(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mix, packed into sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_copies),
+    ("SimHash near-dedup", near_copies),
+    ("source mixing", source_mix),
+    ("best-fit packing", packed),
+]
+
+#: Fingerprints and tokens have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``, each over the written result of the one before."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if i + 1 == len(STAGES):
+            return out
+        path = scratch(spark, f"pipeline-{i}")
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
