@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_bytes, scratch, small, stored, text_batches
 
@@ -37,7 +38,7 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def sha256_digest(texts: pa.Array) -> pa.Array:
     """SHA-256 of each normalised text."""
     return pa.array([hashlib.sha256((t or b"").lower()).digest() for t in as_bytes(texts)], pa.binary())

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_bytes, small, stored, text_batches
 from .graph import components
@@ -52,7 +53,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def fingerprint_udf(texts: pa.Array) -> pa.Array:
     raw = b"".join(fingerprint(t) for t in as_bytes(texts))
     return pa.array(np.frombuffer(raw, ">i8").astype(np.int64), pa.int64())

@@ -19,6 +19,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import as_bytes, scratch, small, stored, text_batches
 
@@ -31,7 +32,7 @@ _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def sha1_hex(payloads: pa.Array) -> pa.Array:
     return pa.array([hashlib.sha1(p or b"").hexdigest() for p in as_bytes(payloads)], pa.string())
 
