@@ -121,17 +121,19 @@ def labelled_pixels(pixels: DataFrame, t: float = 0.5, keys: Sequence[str] = ("m
 
 
 def shape_measures(labelled: DataFrame, keys: Sequence[str] = ("movie", "frame")) -> DataFrame:
-    """solidity, border_complexity and rod_shape_coef of each object; the group is one object."""
+    """solidity, border_complexity and rod_shape_coef of each object; the group is one frame."""
     fields = ", ".join([*(f"`{c}` {labelled.schema[c].dataType.simpleString()}" for c in keys), "label int", "solidity double", "border_complexity double", "rod_shape_coef double"])
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        y, x = df["y"].to_numpy(), df["x"].to_numpy()
-        mask = np.zeros((y.max() - y.min() + 1, x.max() - x.min() + 1), bool)
-        mask[y - y.min(), x - x.min()] = True
-        row = {c: df[c].iloc[0] for c in keys} | {"label": df["label"].iloc[0], "solidity": len(y) / k.convex_area(y, x), "border_complexity": k.border_complexity(mask), "rod_shape_coef": k.rod_shape(mask)}
-        return pd.DataFrame([row])
-
-    return labelled.groupBy(*keys, "label").applyInPandas(run, fields)
+        at, rows = df[["y", "x"]].to_numpy(), []
+        for n, index in df.groupby("label").indices.items():
+            y, x = at[index].T
+            mask = np.zeros((y.max() - y.min() + 1, x.max() - x.min() + 1), bool)
+            mask[y - y.min(), x - x.min()] = True
+            rows.append((*(df[c].iloc[0] for c in keys), n, len(y) / k.convex_area(y, x), k.border_complexity(mask), k.rod_shape(mask)))
+        return pd.DataFrame(rows, columns=[*keys, "label", "solidity", "border_complexity", "rod_shape_coef"])
+
+    return labelled.groupBy(*keys).applyInPandas(run, fields)
 
 
 def dilated_measures(labelled: DataFrame, pixels: DataFrame, times: int = 1, keys: Sequence[str] = ("movie", "frame")) -> DataFrame:

@@ -254,14 +254,17 @@ def stitch(df: pd.DataFrame, most: float = 8.0) -> pd.DataFrame:
             t = joined[t]
         return t
 
+    ends = np.array([end for _, end, *_ in tracks])
+    places = np.array([last for *_, last, _ in tracks]).reshape(-1, 2)
     for k, (start, _, t, first, _, own) in enumerate(tracks):
-        best, found = most + 1, None
-        for _, end, other, _, last, _ in reversed(tracks[:k]):
-            if end < start and (d := math.hypot(*(first - last))) < best and not frames[head(other)] & frames[t]:
-                best, found = d, other
-        if found is not None and best <= most:
-            joined[t] = head(found)
-            frames[head(found)] |= frames[t]
+        d = np.hypot(*(places[:k] - first).T)
+        near = np.flatnonzero((ends[:k] < start) & (d <= most))
+        for i in sorted(near, key=lambda i: (d[i], -i)):
+            into = head(tracks[i][2])
+            if not frames[into] & own:
+                joined[t] = into
+                frames[into] |= frames[t]
+                break
     return df.assign(trackid=np.array([head(t) if t >= 0 else t for t in df["trackid"]], np.int32))
 
 
