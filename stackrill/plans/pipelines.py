@@ -182,12 +182,12 @@ def out_of_focus(stack: DataFrame, s: Settings) -> Result:
 
 #: Pipelines by name, and the models that each takes. Fixed values.
 PIPELINES: dict[str, tuple[Callable[[DataFrame, Settings], Result], tuple[str, ...]]] = {
-    "ASCT_focusrestore": (focus_restoration, ("bf_focus", "fl_focus", "segmentation", "cell_classifier", "pi_classification")),
-    "ASCT_scsegm": (segmenter, ("bf_focus", "fl_focus", "sc_segmenter", "pi_classification")),
-    "ASCT_cellasic": (chambers, ("bf_focus", "fl_focus", "sc_segmenter", "pi_classification")),
-    "ASCT_zaslavier": (three_channels, ("bf_focus", "fl_focus", "sc_segmenter", "segmentation", "cell_classifier", "pi_classification")),
-    "ASCT_ImageProcessing": (single_frame, ("segmentation", "cell_classifier", "pi_classification")),
-    "oof_detection": (out_of_focus, ("sc_segmenter", "oof_detector")),
+    "focus_restoration": (focus_restoration, ("bf_focus", "fl_focus", "segmentation", "cell_classifier", "pi_classification")),
+    "segmenter": (segmenter, ("bf_focus", "fl_focus", "sc_segmenter", "pi_classification")),
+    "chambers": (chambers, ("bf_focus", "fl_focus", "sc_segmenter", "pi_classification")),
+    "three_channels": (three_channels, ("bf_focus", "fl_focus", "sc_segmenter", "segmentation", "cell_classifier", "pi_classification")),
+    "single_frame": (single_frame, ("segmentation", "cell_classifier", "pi_classification")),
+    "out_of_focus": (out_of_focus, ("sc_segmenter", "oof_detector")),
 }
 
 

@@ -284,7 +284,7 @@ def test_pipelines(spark):
         frames.append(img)
     stack = plane_rows(spark, frames).unionByName(plane_rows(spark, frames, channel=1))
     s = pipelines.Settings(align=False, state=lambda df: models.state_by_threshold(df, "rel_mean_intensity", 1.5))
-    run, needed = pipelines.get_pipeline("asct_FOCUSRESTORE")
+    run, needed = pipelines.get_pipeline("Focus_Restoration")
     out = run(stack, s)
     rows = out.objects.toPandas()
     assert len(rows) >= 6 and {"trackid", "pi_class", "rel_mean_intensity"} <= set(rows.columns)
