@@ -145,23 +145,19 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` without the rows that :func:`exact_dedup` drops; all its columns stay."""
     docs = located(docs)
     log, groups = copy_groups(docs, id_col, text_col)
-    losers = (
-        exact_losers(log, groups) if not groups.where("text is not null").count() else None
-    )
-    if losers is None:  # digests that stand for several texts: decide by the texts
+    groups = stored(groups, "dedup-groups")
+    if groups.where("text is not null").count():  # digests that stand for several texts: decide by the texts
         rows = docs.withColumn("_sr_digest", sha256_digest(F.col(text_col).cast("string"))).withColumn("_sr_text", normalised(F.col(text_col)))
-        groups = stored(groups, "dedup-groups")
         g = groups.select(F.col("digest").alias("_sr_d"), F.col("text").alias("_sr_t"), F.col("keep.at").alias("_sr_keep"))
         rows = rows.join(g, (F.col("_sr_digest") == F.col("_sr_d")) & (F.col("_sr_t").isNull() | (F.col("_sr_t") == F.col("_sr_text"))), "left")
         return rows.where(F.col("_sr_keep").isNull() | (F.col("_sr_keep") == F.col("_sr_at"))).select(*[c for c in docs.columns if c != "_sr_at"])
-    losers = stored(losers, "dedup-losers")
+    losers = stored(exact_losers(log, groups), "dedup-losers")
     return docs.join(small(losers, 160), docs["_sr_at"] == losers["_sr_lost"], "left_anti").drop("_sr_at")
 
 
 def exact_losers(log: DataFrame, groups: DataFrame) -> DataFrame:
     """Locators of the rows that do not stay."""
-    groups = stored(groups.select("digest", "keep"), "dedup-groups")
-    return log.join(small(groups, 200), "digest").where(F.col("at") != F.col("keep.at")).select(F.col("at").alias("_sr_lost"))
+    return log.join(small(groups.select("digest", "keep"), 200), "digest").where(F.col("at") != F.col("keep.at")).select(F.col("at").alias("_sr_lost"))
 
 
 def op4_query(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ order changes the work, never the verdict: a document is kept if no rule rejects
 
 from __future__ import annotations
 
+import operator
 import time
 from collections import Counter
 from collections.abc import Callable, Sequence
@@ -78,6 +79,11 @@ class Text:
     def n_dup_lines(self) -> int:
         return len(self.lines) - len(set(self.lines))
 
+    @cached_property
+    def n_stutters(self) -> int:
+        """Words that equal the word before them."""
+        return sum(map(operator.eq, self.words, self.words[1:]))
+
     @cached_property
     def n_repeat_words(self) -> int:
         """Words inside a window that occurs at least twice in the text."""
@@ -107,7 +113,8 @@ RULES = (
     Rule("repeated_words", lambda t: 100 * t.n_repeat_words > 30 * t.n_words),
     Rule("symbols", lambda t: 100 * t.n_symbols > 5 * t.word_chars),
     Rule("shouting", lambda t: t.n_upper > t.n_lower),
-    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 30 * len(t.lines)),
+    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 60 * len(t.lines)),
+    Rule("stutters", lambda t: 100 * t.n_stutters > 30 * t.n_words),
 )
 BASE = ("few_words", "repeated_words")
 
@@ -211,11 +218,12 @@ r AS (
          CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+         len(list_filter(generate_series(2, len(words)), lambda i: words[i] = words[i - 1])) AS n_stutters,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower
   FROM t LEFT JOIN r ON t.k = r.k
 ), v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 100 * n_symbols > 5 * word_chars OR n_upper > n_lower OR 100 * n_dup_lines > 30 * n_lines) AS kept
+       NOT (base_failed OR 100 * n_symbols > 5 * word_chars OR n_upper > n_lower OR 100 * n_dup_lines > 60 * n_lines OR 100 * n_stutters > 30 * n_words) AS kept
 FROM v
 """
