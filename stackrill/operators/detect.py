@@ -182,21 +182,31 @@ def suppress(detections: DataFrame, most: float = 0.4, keys: tuple[str, ...] = (
     return detections.groupBy(*keys).applyInPandas(run, detections.schema)
 
 
-def merge_detections(tiles: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Objects of each frame from its tile detections, with the frame's label image as bytes.
+_OBJECT = "struct<label:int,class_id:int,score:double,x1:int,y1:int,x2:int,y2:int,area:int>"
+
+
+def merge_frames(tiles: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per frame: its label plane (int32) and ``objects``, merged from its tile detections.
 
     ``tiles``: movie, frame, height, width, class_id, score, x1, y1, x2, y2 (in the image), off_y,
     off_x, mask_h, mask_w, mask (float32 bytes). One group is one frame.
     """
-    out = "movie string, frame int, label int, class_id int, score double, x1 int, y1 int, x2 int, y2 int, area int"
+    out = f"movie string, frame int, slice int, channel int, height int, width int, dtype string, pixels binary, objects array<{_OBJECT}>"
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df[df["score"] >= settings.score].sort_values(["off_y", "off_x", "score", "x1", "y1"], kind="stable").reset_index(drop=True)
-        if df.empty:
-            return pd.DataFrame(columns=["movie", "frame", "label", "class_id", "score", "x1", "y1", "x2", "y2", "area"])
-        masks = [np.frombuffer(m, np.float32).reshape(h, w) > settings.mask_threshold for m, h, w in zip(df["mask"], df["mask_h"], df["mask_w"])]
         shape = (int(df["height"].iloc[0]), int(df["width"].iloc[0]))
-        _, rows = merge_frame(shape, df[["x1", "y1", "x2", "y2"]].to_numpy(), df["score"].to_numpy(), df["class_id"].to_numpy(), masks, list(zip(df["off_y"], df["off_x"])), settings)
-        return rows.assign(movie=df["movie"].iloc[0], frame=df["frame"].iloc[0])[["movie", "frame", "label", "class_id", "score", "x1", "y1", "x2", "y2", "area"]]
+        key = (df["movie"].iloc[0], df["frame"].iloc[0])
+        df = df[df["score"] >= settings.score].sort_values(["off_y", "off_x", "score", "x1", "y1"], kind="stable").reset_index(drop=True)
+        labels, rows = np.zeros(shape, np.int32), []
+        if len(df):
+            masks = [np.frombuffer(m, np.float32).reshape(h, w) > settings.mask_threshold for m, h, w in zip(df["mask"], df["mask_h"], df["mask_w"])]
+            labels, found = merge_frame(shape, df[["x1", "y1", "x2", "y2"]].to_numpy(), df["score"].to_numpy(), df["class_id"].to_numpy(), masks, list(zip(df["off_y"], df["off_x"])), settings)
+            rows = found.to_dict("records")
+        return pd.DataFrame([(*key, 0, 0, *shape, "int32", labels.astype(np.int32).tobytes(), rows)], columns=["movie", "frame", "slice", "channel", "height", "width", "dtype", "pixels", "objects"])
 
     return tiles.groupBy("movie", "frame").applyInPandas(run, out)
+
+
+def merge_detections(tiles: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The objects of :func:`merge_frames`, one row each."""
+    return merge_frames(tiles, settings).selectExpr("movie", "frame", "inline(objects)")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import class_name
-from ..operators import crop, detect, pixels, planes, relational, tracks
+from ..operators import crop, detect, planes, relational, tracks
 from . import models
 
 
@@ -67,16 +67,6 @@ def preprocess(stack: DataFrame, s: Settings, time_lapse: bool = True) -> DataFr
     return reference.unionByName(others)
 
 
-def measure(stack: DataFrame, labels: DataFrame, channel: int) -> DataFrame:
-    """Region properties and background of one channel under the labels."""
-    one = planes.to_pixels(stack.where(F.col("channel") == channel)).select("movie", "frame", "slice", "channel", "y", "x", "value")
-    marks = planes.to_pixels(labels).select("movie", "frame", "y", "x", F.col("value").cast("int").alias("label"))
-    on = one.join(marks, ["movie", "frame", "y", "x"])
-    rows = pixels.region_measures(on, ("movie", "frame", "slice", "channel"))
-    background = planes.background_by_plane(stack.where(F.col("channel") == channel), labels)
-    return relational.join_per_frame(rows, background)
-
-
 def finish(rows: DataFrame, s: Settings, time_lapse: bool = True) -> Result:
     """Times, relative intensities, tracks, states, lock-in and the summary."""
     if s.times is not None and time_lapse:
@@ -101,7 +91,7 @@ def _connected(stack: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     reference = stack.where(F.col("channel") == s.reference_channel)
     proba = models.predict_planes(reference, s.segment) if s.segment else planes.scale(reference)
     labels = planes.label_planes(proba, s.threshold, s.least_pixels)
-    rows = measure(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel)
+    rows = planes.measure_planes(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel)
     if s.classify:
         found = models.classify_crops(planes.roi_crops(reference, labels, 64), s.classify, 64)
         found = found.select("movie", "frame", "label", class_name(F.col("class_id"), s.classes).alias("object_class"), F.col("score").alias("detection_score"))
@@ -112,11 +102,11 @@ def _connected(stack: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
 
 
 def _segmented(stack: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Objects of the instance segmenter; measured in the boxes' label planes."""
+    """Objects of the instance segmenter, measured under its label planes."""
     reference = stack.where(F.col("channel") == s.reference_channel)
-    found = detect.merge_detections(models.detect_tiles(planes.tiles(reference, s.tile), s.detector, s.tile))
-    labels = planes.label_planes(planes.scale(reference), s.threshold, s.least_pixels)
-    rows = measure(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel)
+    merged = detect.merge_frames(models.detect_tiles(planes.tiles(reference, s.tile), s.detector, s.tile))
+    labels, found = merged.drop("objects"), merged.selectExpr("movie", "frame", "inline(objects)")
+    rows = planes.measure_planes(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel)
     classes = found.select("movie", "frame", "label", class_name(F.col("class_id"), s.classes).alias("object_class"), F.col("score").alias("detection_score"))
     return labels, relational.join_classes(rows, classes)
 
@@ -125,7 +115,7 @@ def _run(stack: DataFrame, s: Settings, time_lapse: bool = True) -> Result:
     stack = preprocess(stack, s, time_lapse)
     labels, rows = (_segmented if s.detector else _connected)(stack, s)
     if s.gfp_channel is not None:
-        rows = relational.join_second_channel(rows, measure(stack, labels, s.gfp_channel))
+        rows = relational.join_second_channel(rows, planes.measure_planes(stack, labels, s.gfp_channel))
     out = finish(rows, s, time_lapse)
     out.labels, out.planes = labels, stack
     return out

@@ -178,7 +178,7 @@ def test_measure_blobs(spark):
         frames.append(img)
     stack = plane_rows(spark, frames)
     labels = planes.label_planes(stack, 5.0, 20)
-    rows = pipelines.measure(stack, labels, 0).orderBy("frame").toPandas()
+    rows = planes.measure_planes(stack, labels, 0).orderBy("frame").toPandas()
     assert rows.mean_intensity.tolist() == [10, 20, 30] and rows.centroid_0.tolist() == [24.5, 34.5, 44.5]
     assert rows.area.tolist() == [100] * 3 and rows.background.tolist() == [1, 1, 1]
     assert relational.lead_columns(spark.createDataFrame([(1, 2, 3, 4, 5)], "area int, channel int, frame int, label int, slice int")).columns == ["label", "frame", "slice", "channel", "area"]
@@ -186,6 +186,43 @@ def test_measure_blobs(spark):
     assert planes.to_pixels(none).where("value > 0").count() == 0
 
 
+def test_plane_and_pixel_measures_agree(spark):
+    img = np.random.default_rng(8).random((40, 50)).astype(np.float32)
+    stack = plane_rows(spark, [img])
+    labels = planes.label_planes(stack, 0.4, 3)
+    a = planes.measure_planes(stack, labels, 0).toPandas().set_index("label").sort_index()
+    marks = planes.to_pixels(labels).select("movie", "frame", "y", "x", fs.F.col("value").cast("int").alias("label"))
+    b = pixels.region_measures(planes.to_pixels(stack).join(marks, ["movie", "frame", "y", "x"])).toPandas().set_index("label").sort_index()
+    assert len(a) == len(b) > 5
+    for c in k.REGION:
+        assert np.allclose(a[c], b[c], rtol=1e-6, atol=1e-9), c
+
+
+def test_segmenter_pipeline(spark):
+    class Squares:
+        """A detector that finds bright squares of a tile; its masks are of whole tiles."""
+
+        def detect(self, tile):
+            parts, n = k.label(tile > 0.5)
+            out = []
+            for i in range(1, n + 1):
+                y, x = np.nonzero(parts == i)
+                out.append((0, 0.9, float(x.min()), float(y.min()), float(x.max() + 1), float(y.max() + 1), (parts == i).astype(np.float32)))
+            return out
+
+    frames = []
+    for f in range(2):
+        img = np.full((60, 60), 10, np.float32)
+        img[5:15, 5 + f : 15 + f] = img[40:50, 30:40] = 100
+        frames.append(img)
+    s = pipelines.Settings(align=False, detector=lambda: Squares(), state_channel=None, tile=64, state=lambda df: models.state_by_threshold(df, "mean_intensity", 1.0))
+    out = pipelines.get_pipeline("segmenter")[0](plane_rows(spark, frames), s)
+    rows = out.objects.toPandas()
+    assert len(rows) == 4 and set(rows.object_class) == {"single-cell"} and rows.trackid.nunique() == 2 and (rows.area >= 80).all()
+    points = pipelines.get_pipeline("out_of_focus")[0](plane_rows(spark, frames), s).objects.toPandas()
+    assert len(points) == 2 and set(points.source) == {"standard"}
+
+
 def test_ellipse_axes(spark):
     y, x = np.mgrid[-40:41, -40:41]
     inside = (x / 30) ** 2 + (y / 12) ** 2 <= 1
