@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from ..schema import PLANE
 from . import kernels as k
 
-#: Planes in an Arrow batch.
-BATCH = 8
+#: Bytes of planes in an Arrow batch, about; a larger plane is a batch of its own.
+BATCH_BYTES = 64 << 20
 _KEYS = ("movie", "frame", "slice", "channel")
 
 
@@ -36,7 +36,7 @@ def _keys(row) -> dict:
 
 def map_planes(planes: DataFrame, f: Callable[[np.ndarray], np.ndarray], dtype: str | None = None) -> DataFrame:
     """Each plane under ``f``; the result has its own size, and its type unless one is given."""
-    planes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    planes.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     names = [x.name for x in PLANE]
 
     def run(batches):
@@ -71,7 +71,7 @@ def sobel(planes: DataFrame, smooth: int = 0) -> DataFrame:
 
 def tiles(planes: DataFrame, tile: int = 256, overlap: float = 0.33, fill: float | None = None) -> DataFrame:
     """(keys, height, width, off_y, off_x, valid_h, valid_w, pixels): tiles in rows, min-max scaled."""
-    planes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    planes.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     names = [*_KEYS, "height", "width", "off_y", "off_x", "valid_h", "valid_w", "pixels"]
 
     def run(batches):

@@ -91,7 +91,7 @@ def read_planes(spark: SparkSession, path: str, channels: int = 1, slices: int =
     Columns of the plane relation, ``pixel_size`` and ``error``.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     names = [*(f.name for f in PLANE), "pixel_size", "error"]
 
     def run(batches):
