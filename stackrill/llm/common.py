@@ -20,18 +20,17 @@ from pyspark.sql import functions as F
 # Executors get these modules with the tasks, so a cluster needs no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
 
-#: Rows of an Arrow batch that carry whole texts: 256 texts of 100 kB make 25 MB.
-TEXT_ROWS = 256
+#: Bytes of an Arrow batch, about; a longer text is a batch of its own.
+TEXT_BYTES = 1 << 20
 #: A table may be broadcast if it has at most this many bytes, counted before the join.
 BROADCAST_BYTES = 16 << 20
 #: White space that separates words.
 SPACE = b" \t\n\x0b\x0c\r"
 
 
-def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Bound the Arrow batches of this session, which carry whole texts to Python."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def text_batches(spark: SparkSession) -> None:
+    """Bound the bytes of this session's Arrow batches, which carry whole texts to Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -155,7 +155,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text_batches(spark)
     rows = stored(docs.select(F.col(id_col).alias("id"), fingerprint_udf(F.col(text_col).cast("string")).alias("fp")), "simhash-rows")
     prints = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
-    text_batches(spark, 1 << 16)
     met = variants(prints.select("fp")).repartition("field", "variant").sortWithinPartitions("field", "variant")
     links = met.mapInArrow(_links, "a long, b long")
     roots = stored(components(links), "simhash-roots")
