@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, crc32_of_id, text_batches
+from .common import as_bytes, crc32_of_id, small, stored, text_batches
 
 THRESHOLD = 0.3
 #: Rows of each kind in the training sample, about; words used as features; fits averaged.
@@ -107,9 +107,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = min(0.9, max(0.005, n_toxic / n)) if prior is None else prior
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.where("toxic = 1").where(unit < min(1.0, positive / n_toxic)).select("id").distinct()
-    sample = rows.join(chosen, "id").select("text", F.lit(1).alias("p"))
-    sample = sample.unionByName(rows.where(unit < min(1.0, unlabelled / max(1, docs.count()))).select("text", F.lit(0).alias("p")))
+    chosen = stored(known.where("toxic = 1").where(unit < min(1.0, positive / n_toxic)).select("id").distinct(), "toxic-ids")
+    sample = rows.join(small(chosen, 24), "id").select("text", F.lit(1).alias("p"))
+    sample = stored(sample.unionByName(rows.where(unit < min(1.0, unlabelled / max(1, docs.count()))).select("text", F.lit(0).alias("p"))), "toxic-sample")
 
     def split(batches):
         for batch in batches:
