@@ -11,6 +11,7 @@ the next one. A block whose packing reaches the lower bound stops there.
 
 from __future__ import annotations
 
+import base64
 import random
 import re
 import zlib
@@ -25,20 +26,22 @@ from .common import stored, text_batches
 CAPACITY = 2048
 END = 0
 TOKENIZER = "byte_bpe_50k.json"
+#: The same vocabulary as ranks.
+RANKS = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
 #: Pieces of a block, about; islands, epochs, generations and packings of a population.
 BLOCK, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 2, 6, 4
-#: Chunks whose ids are remembered; beyond that, memory starts anew.
-MEMO = 1 << 18
-
-_JOINED = re.compile(r"\s \s")
+#: Characters of a word from which on the tokenizers library encodes the text.
+LONG_WORD = 1000
+#: Anything but ASCII, Latin letters and signs, and common punctuation.
+_RARE = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u024f\\u2010-\\u2027]")
 
 
 class Ids:
     """Token ids of whole texts by a byte-level BPE of the tokenizers library, as uint32 bytes.
 
-    A single space that no white space follows always begins a pre-token, so the ids of a text are
-    those of its chunks, each with the space before it; chunks recur and are encoded once. Texts
-    with longer runs of white space that hold a space inside are encoded as a whole.
+    Where the same vocabulary is there as ranks, plain texts are encoded by those, which gives the
+    same ids in a third of the time. Texts with special tokens, very long words or characters whose
+    classes may differ between the libraries' Unicode versions are left to the tokenizers library.
     """
 
     def __init__(self, tokenizer: str = TOKENIZER):
@@ -46,24 +49,32 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
-        self.memo: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ranked = None
+        if tokenizer in RANKS:
+            import tiktoken
 
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            with open(public_tokenizers.path(RANKS[tokenizer]), "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if _JOINED.search(text) or text[-2:].isspace():
-            return self._encode(text)
-        first, *rest = text.split(" ")
-        memo, out = self.memo, [self._encode(first)] if first else []
-        if len(memo) > MEMO:
-            memo.clear()
-        for chunk in rest:
-            ids = memo.get(chunk)
-            if ids is None:
-                ids = memo[chunk] = self._encode(" " + chunk)
-            out.append(ids)
-        return b"".join(out)
+        plain = self.ranked and not _RARE.search(text) and not any(s in text for s in self.special)
+        if plain and max(map(len, text.split()), default=0) <= LONG_WORD:
+            ids = self.ranked.encode_ordinary(text)
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+
+def ids_here(tokenizer: str) -> Ids:
+    """This process's encoder: a Python worker keeps it from task to task."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_stackrill_ids", {})
+    if tokenizer not in held:
+        held[tokenizer] = Ids(tokenizer)
+    return held[tokenizer]
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -82,7 +93,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOK
     end = np.array([END], "<u4").tobytes()
 
     def pieces(batches):
-        encode = Ids(tokenizer)
+        encode = ids_here(tokenizer)
         for batch in batches:
             index, out = [], {k: [] for k in ("piece", "start", "length", "ids_crc32", "ids")}
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -223,7 +234,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, island
 
     Pieces of full length get sequences of their own (negative numbers); no piece is longer.
     """
-    text_batches(pieces.sparkSession, 16)
+    text_batches(pieces.sparkSession)
     full = pieces.where(F.col("length") == capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = pieces.where(F.col("length") < capacity)
     n_blocks = max(1, round(rest.count() / block))
