@@ -260,6 +260,29 @@ def test_passages_against_all_runs(spark):
     assert want <= set(got.doc_id) and (got.similarity >= 0.8).all() and (got.words >= 50).all()
 
 
+def passage_tokens(text):
+    return passages.tokens(text.encode(), passages._WordHash())
+
+
+@pytest.mark.parametrize("n", [50, 60, 80, 100])
+def test_one_changed_word_at_any_place(n):
+    words = prose(n, 300 + n, 10**6).split()
+    for k in range(n):
+        one, two = " ".join(words), " ".join(words[:k] + ["changed"] + words[k + 1 :])
+        a, b = passage_tokens(f"{prose(60, 1)} {one} {prose(60, 2)}"), passage_tokens(f"{prose(60, 3)} {two} {prose(60, 4)}")
+        found = passages.passages_on(a, b, 0, len(a), 46, 0.8)
+        assert found and all(j >= 0.8 for *_, j in found), k
+        assert sum(e - s for s, e, _ in found) >= n - 4 - 5, k
+
+
+def test_a_word_changed_every_45_words():
+    words = prose(300, 77, 10**6).split()
+    edited = [f"changed{k}" if k % 45 == 44 else w for k, w in enumerate(words)]
+    a, b = passage_tokens(" ".join(words)), passage_tokens(" ".join(edited))
+    found = passages.passages_on(a, b, 0, len(a), 46, 0.8)
+    assert len(found) == 1 and found[0][1] - found[0][0] >= 280
+
+
 def test_compact_windows_cover_all_subsequences():
     rng = np.random.default_rng(4)
     values, least = rng.permutation(60).astype(np.uint64), 7
