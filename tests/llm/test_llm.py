@@ -283,6 +283,16 @@ def test_a_word_changed_every_45_words():
     assert len(found) == 1 and found[0][1] - found[0][0] >= 280
 
 
+def test_passages_with_a_word_put_in(spark):
+    docs, where = [], [(n, k) for n in (50, 80, 98) for k in range(1, n, 7)]
+    for i, (n, k) in enumerate(where):
+        words = prose(n, 500 + i, 10**6).split()
+        docs += [(2 * i, f"{prose(60, 1000 + i)} {' '.join(words)} {prose(60, 2000 + i)}"), (2 * i + 1, f"{prose(70, 3000 + i)} {' '.join(words[:k] + ['inserted'] + words[k:])} {prose(50, 4000 + i)}")]
+    got = passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).toPandas()
+    assert set(zip(got.doc_id, got.other_id)) == {(2 * i + x, 2 * i + 1 - x) for i in range(len(where)) for x in (0, 1)}
+    assert (got.similarity >= 0.8).all() and (got.words >= 50).all()
+
+
 def test_compact_windows_cover_all_subsequences():
     rng = np.random.default_rng(4)
     values, least = rng.permutation(60).astype(np.uint64), 7
