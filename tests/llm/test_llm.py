@@ -293,6 +293,15 @@ def test_passages_with_a_word_put_in(spark):
     assert (got.similarity >= 0.8).all() and (got.words >= 50).all()
 
 
+def test_passage_twice_in_the_first_document(spark):
+    shared = prose(70, 99, 10**6)
+    docs = [(0, f"{prose(60, 1)} {shared} {prose(60, 2)} {shared} {prose(60, 3)}"), (1, f"{prose(60, 4)} {shared} {prose(60, 5)}"), (2, f"{shared} {prose(90, 6)} {shared}"), (3, f"{shared} {prose(90, 7)} {shared}")]
+    for parts in (1, 4):
+        got = passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)).toPandas()
+        assert set(zip(got.doc_id, got.start)) == {(0, 60), (0, 190), (1, 60), (2, 0), (2, 160), (3, 0), (3, 160)}
+    assert set(passages.near_passages(spark.createDataFrame(docs[:1], "doc_id long, text string")).toPandas().doc_id) == set()
+
+
 def test_compact_windows_cover_all_subsequences():
     rng = np.random.default_rng(4)
     values, least = rng.permutation(60).astype(np.uint64), 7
