@@ -302,6 +302,20 @@ def test_passage_twice_in_the_first_document(spark):
     assert set(passages.near_passages(spark.createDataFrame(docs[:1], "doc_id long, text string")).toPandas().doc_id) == set()
 
 
+def test_passage_behind_a_shorter_copy(spark):
+    docs, want = [], set()
+    for i in range(12):
+        shared = prose(60, 600 + i, 10**6).split()
+        docs += [(10 * i, f"{prose(60, 1000 + i)} {' '.join(shared[: 25 + i])} {prose(60, 2000 + i)}"), (10 * i + 1, f"{prose(60, 3000 + i)} {' '.join(shared[22 + i - 10 :])} {prose(60, 4000 + i)}")]
+        docs += [(10 * i + k, f"{prose(40 + k, 5000 + 10 * i + k)} {' '.join(shared)} {prose(60, 6000 + 10 * i + k)}") for k in (3, 5, 8)]
+        want |= {10 * i + k for k in (3, 5, 8)}
+    line = prose(20, 7, 10**6)
+    docs += [(1000 + i, f"{prose(60, 8000 + i)} {line} {prose(60, 9000 + i)}") for i in range(40)]
+    got = passages.near_passages(spark.createDataFrame(docs, "doc_id long, text string")).toPandas()
+    assert want <= set(got.doc_id) and not any(got.doc_id >= 1000) and (got.similarity >= 0.8).all()
+    assert len(got) == len(got.drop_duplicates())
+
+
 def test_compact_windows_cover_all_subsequences():
     rng = np.random.default_rng(4)
     values, least = rng.permutation(60).astype(np.uint64), 7
