@@ -14,7 +14,8 @@ import zlib
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Executors get these modules with the tasks, so a cluster needs no installed copy of the package.
@@ -41,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         found = sc._jsc.sc().getCheckpointDir()
         root = found.get() if found.isDefined() else None
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", uuid.uuid4().hex)
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(root)
@@ -64,6 +67,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder that are dropped when the ``with`` block ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+
+    def path(self, name: str) -> str:
+        self.paths.append(scratch(self.spark, name))
+        return self.paths[-1]
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def located(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` of ``docs`` with ``_sr_at``, a stable locator of each row: (file, row), two longs.
+
+    Rows of a file scan have one already; any other input is first written to the shared folder.
+    Without ``columns``, all of ``docs``.
+    """
+    at = lambda d: F.struct(file_number(d, F.col("_metadata.file_path")).alias("file"), F.col("_metadata.row_index").alias("row")).alias("_sr_at")
+    own = [c.alias(k) for k, c in columns.items()] or ["*"]
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.select(*own, at(docs))
+        except AnalysisException:
+            pass
+    docs = stored(docs.select(*own).withColumnRenamed("_metadata", "_sr_own"), "rows")
+    return docs.select(*(F.col(c).alias("_metadata" if c == "_sr_own" else c) for c in docs.columns), at(docs))
+
+
 def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df``, marked for broadcast if its counted size is within ``limit``; else Spark shuffles.
 
@@ -72,6 +115,45 @@ def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+#: Keys above the share 1 / HOT_KEYS of all rows are joined by broadcast: there are fewer than HOT_KEYS.
+HOT_KEYS = 4096
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: list[str], size: str, row_bytes: int, how: str = "inner", limit: int = BROADCAST_BYTES, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``rows`` joined with ``groups`` on ``key``, without gathering a hot key's rows in one task.
+
+    ``groups`` is a stored table with one row per key; its column ``size`` says how many of the rows
+    have that key. If it is too large to broadcast, only keys with more than one in ``hot_keys``
+    of all rows are, whose number that bounds, and the others are shuffled. ``size`` stays out.
+    """
+    plain = groups.drop(size)
+    n, total = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).head()
+    if n * row_bytes <= limit:
+        return rows.join(F.broadcast(plain), key, how)
+    hot = F.col(size) * hot_keys > total
+    keys = F.broadcast(groups.where(hot).select(*key))
+    cold = rows.join(keys, key, "left_anti").join(groups.where(~hot).drop(size), key, how)
+    return rows.join(F.broadcast(groups.where(hot).drop(size)), key).unionByName(cold)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def file_number(docs: DataFrame, path: Column) -> Column:
+    """A number for each input file of ``docs``: a hash of its path that no two of them share."""
+    files, salt = sorted(set(docs.inputFiles())), 0
+    spark = docs.sparkSession
+    while len(files) > 1:
+        names = spark.createDataFrame([(f,) for f in files], "f string")
+        if names.select(F.xxhash64("f", F.lit(salt))).distinct().count() == len(files):
+            break
+        salt += 1
+    return F.xxhash64(path, F.lit(salt))
+
+
 def as_bytes(texts: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of an Arrow string array without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()

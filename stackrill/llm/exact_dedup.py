@@ -1,14 +1,14 @@
 """Exact dedup as a stateful stream.
 
 Texts are equal if identical after lower-casing A-Z. A pass over the texts writes, for each row, its
-id, the SHA-256 of the normalised text and a content locator (file and row). A structured-streaming
-aggregation consumes that log in micro-batches; its keyed state lives in RocksDB, has no expiry, and
-retains for each digest the stable id that stays, the locator of its content and the group's size.
-Groups with hits are then held against the full bytes before any row is dropped: digests whose
-texts are not all equal are regrouped by the texts themselves.
-
-Rows are pre-aggregated before each shuffle (a hot digest leaves a task as one row), and no group
-is ever gathered in a task.
+id, the SHA-256 of the normalised text and a content locator (file number and row). A
+structured-streaming aggregation consumes that log in micro-batches; its keyed state lives in RocksDB,
+has no expiry, and retains for each digest the stable id that stays, the locator of its content and the
+group's size. The full contents of all hits are then found by their locators and their bytes compared
+before any row is dropped: digests whose texts are not all equal are regrouped by the texts themselves.
+
+Rows are pre-aggregated before each shuffle (a hot digest leaves a task as one row, and equal texts
+once), hot digests are joined by broadcast, and no group is ever gathered in a task.
 """
 
 from __future__ import annotations
@@ -18,16 +18,17 @@ import string
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, scratch, small, stored, text_batches
+from .common import Scratch, as_bytes, located, scratch, small, spread_join, stored, text_batches
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    # Else each of a state's partitions sets aside megabytes of disk before it holds a row.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 #: Micro-batches in which the log of digests is consumed, about.
 BATCHES = 3
@@ -44,28 +45,13 @@ def sha256_digest(texts: pa.Array) -> pa.Array:
     return pa.array([hashlib.sha256((t or b"").lower()).digest() for t in as_bytes(texts)], pa.binary())
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_sr_at``, a stable locator (file, row) of each row.
-
-    Rows of a file scan have one already; any other input is first written to the shared folder.
-    """
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    if "_metadata" not in docs.columns:
-        try:
-            return docs.select("*", at.alias("_sr_at"))
-        except AnalysisException:
-            pass
-    plain = docs.drop("_metadata")
-    return stored(plain, "rows").select("*", at.alias("_sr_at"))
-
-
-def stream_state(spark: SparkSession, log_path: str, schema, batches: int = BATCHES) -> DataFrame:
+def stream_state(spark: SparkSession, log_path: str, schema, batches: int, temp: Scratch) -> DataFrame:
     """Consume a log (id, digest, at) as a stream; the final state: digest, keep (id, at), n.
 
     Each micro-batch writes the groups it changed. ``keep`` and ``n`` only grow, so their maxima
     over all batches are the state, also if a batch was run twice after a failure.
     """
-    out, held = scratch(spark, "dedup-updates"), {k: spark.conf.get(k, None) for k in _STATE}
+    out, held = temp.path("dedup-updates"), {k: spark.conf.get(k, None) for k in _STATE}
     n_files = max(1, len(spark.read.schema(schema).parquet(log_path).inputFiles()))
     for k, v in _STATE.items():
         spark.conf.set(k, v)
@@ -75,7 +61,7 @@ def stream_state(spark: SparkSession, log_path: str, schema, batches: int = BATC
         query = (
             state.writeStream.outputMode("update")
             .foreachBatch(lambda changed, batch: changed.write.mode("overwrite").parquet(f"{out}/batch={batch}"))
-            .option("checkpointLocation", scratch(spark, "dedup-state"))
+            .option("checkpointLocation", temp.path("dedup-state"))
             .trigger(availableNow=True)
             .start()
         )
@@ -92,30 +78,46 @@ def _has_files(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_digest, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
+def copy_groups(rows: DataFrame, digest: Callable[[Column], Column] = sha256_digest, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
     """``(log, groups)``: each row's (id, digest, at), and the groups of two rows or more.
 
-    ``groups`` has digest, text (only where a digest stands for several texts, else null), keep and
-    n. ``docs`` must come from :func:`located`.
+    ``rows`` has id, text and the locator ``_sr_at``. ``groups`` has digest, text (only where a digest
+    stands for several texts, else null), keep and n; both are stored tables.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     text_batches(spark)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col("_sr_at").alias("at")).withColumn("digest", digest(F.col("text")))
+    texts = rows.select("id", F.col("text").cast("string").alias("text"), F.col("_sr_at").alias("at"))
     path = scratch(spark, "dedup-log")
-    log = rows.select("id", "digest", "at")
+    log = texts.select("id", digest(F.col("text")).alias("digest"), "at")
     log.write.parquet(path)
     log = spark.read.schema(log.schema).parquet(path)
-    hits = stored(stream_state(spark, path, log.schema, batches).where("n > 1"), "dedup-hits")
-    members = rows.join(small(hits.select("digest"), 48), "digest")
-    text = normalised(F.col("text"))
-    several = stored(members.groupBy("digest").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a != b").select("digest"), "dedup-collisions")
-    groups = hits.select("digest", F.lit(None).cast("string").alias("text"), "keep", "n")
-    if several.count():
-        split = rows.join(several, "digest").groupBy("digest", text.alias("text")).agg(F.max(F.struct("id", "at")).alias("keep"), F.count(F.lit(1)).alias("n"))
-        groups = groups.join(several, "digest", "left_anti").unionByName(split)
+    with Scratch(spark) as temp:
+        hits = temp.stored(stream_state(spark, path, log.schema, batches, temp).where("n > 1"), "dedup-hits")
+        # Content of the hits, found by locator; a task's equal texts leave it once.
+        members = temp.stored(spread_join(log, hits.select("digest", "n"), ["digest"], "n", 64).select(F.col("at").alias("m"), "digest"), "dedup-members")
+        contents = texts.select("at", normalised(F.col("text")).alias("text")).join(small(members, 64), F.col("at") == F.col("m"))
+        distinct = contents.select("digest", "text").distinct()
+        several = temp.stored(distinct.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"), "dedup-collisions")
+        groups = hits.select("digest", F.lit(None).cast("string").alias("text"), "keep", "n")
+        if several.count():
+            split = contents.join(several, "digest").join(log.select("id", F.col("at").alias("m")), "m").groupBy("digest", "text").agg(F.max(F.struct("id", "at")).alias("keep"), F.count(F.lit(1)).alias("n"))
+            groups = groups.join(several, "digest", "left_anti").unionByName(split)
+        groups = stored(groups, "dedup-groups")
     return log, groups
 
 
+def grouped(rows: DataFrame, log: DataFrame, groups: DataFrame, digest: Callable[[Column], Column] = sha256_digest) -> DataFrame:
+    """Each row's id, digest and at, with keep and n of its group (null if alone)."""
+    plain = groups.where("text is null").select("digest", "keep", "n", F.col("n").alias("rows"))
+    out = spread_join(log, plain, ["digest"], "rows", 128, "left")
+    split = groups.where("text is not null")
+    if split.count():  # digests that stand for several texts: the texts decide
+        texts = rows.select("id", digest(F.col("text").cast("string")).alias("digest"), F.col("_sr_at").alias("at"), normalised(F.col("text")).alias("text"))
+        own = texts.join(split.select("digest").distinct(), "digest").join(split, ["digest", "text"], "left").drop("text")
+        out = out.join(split.select("digest").distinct(), "digest", "left_anti").unionByName(own)
+    return out
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_digest, batches: int = BATCHES) -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept, digest.
 
@@ -123,16 +125,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows with that id, one stays (the last by file and row). Null texts equal empty ones. Columns
     other than the two named are not read. An empty table gives an empty one.
     """
-    docs = located(docs.select(id_col, text_col)) if "_sr_at" not in docs.columns else docs
-    log, groups = copy_groups(docs, id_col, text_col, digest, batches)
-    groups = stored(groups, "dedup-groups")
-    split = groups.where("text is not null")
-    plain = log.join(small(groups.where("text is null").drop("text"), 256), "digest", "left")
-    if split.count():
-        rows = docs.select(F.col(id_col).alias("id"), digest(F.col(text_col).cast("string")).alias("digest"), F.col("_sr_at").alias("at"), normalised(F.col(text_col)).alias("text"))
-        plain = plain.join(split.select("digest").distinct(), "digest", "left_anti").unionByName(rows.join(split, ["digest", "text"]).drop("text"))
+    rows = located(docs, id=F.col(id_col), text=F.col(text_col))
+    log, groups = copy_groups(rows, digest, batches)
     alone = F.col("n").isNull()
-    return plain.select(
+    return grouped(rows, log, groups, digest).select(
         F.col("id").alias(id_col),
         F.when(alone, F.col("id")).otherwise(F.col("keep.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
@@ -141,28 +137,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`exact_dedup` drops; all its columns stay."""
-    docs = located(docs)
-    log, groups = copy_groups(docs, id_col, text_col)
-    groups = stored(groups, "dedup-groups")
-    if groups.where("text is not null").count():  # digests that stand for several texts: decide by the texts
-        rows = docs.withColumn("_sr_digest", sha256_digest(F.col(text_col).cast("string"))).withColumn("_sr_text", normalised(F.col(text_col)))
-        g = groups.select(F.col("digest").alias("_sr_d"), F.col("text").alias("_sr_t"), F.col("keep.at").alias("_sr_keep"))
-        rows = rows.join(g, (F.col("_sr_digest") == F.col("_sr_d")) & (F.col("_sr_t").isNull() | (F.col("_sr_t") == F.col("_sr_text"))), "left")
-        return rows.where(F.col("_sr_keep").isNull() | (F.col("_sr_keep") == F.col("_sr_at"))).select(*[c for c in docs.columns if c != "_sr_at"])
-    losers = stored(exact_losers(log, groups), "dedup-losers")
-    return docs.join(small(losers, 160), docs["_sr_at"] == losers["_sr_lost"], "left_anti").drop("_sr_at")
-
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256_digest) -> DataFrame:
+    """``docs`` without the rows that :func:`exact_dedup` drops; all its columns stay.
 
-def exact_losers(log: DataFrame, groups: DataFrame) -> DataFrame:
-    """Locators of the rows that do not stay."""
-    return log.join(small(groups.select("digest", "keep"), 200), "digest").where(F.col("at") != F.col("keep.at")).select(F.col("at").alias("_sr_lost"))
+    Nulls, empty texts, ties, repeated rows and empty tables have the results stated there.
+    """
+    docs = located(docs)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "_sr_at")
+    log, groups = copy_groups(rows, digest)
+    lost = stored(grouped(rows, log, groups, digest).where(F.col("at") != F.col("keep.at")).select(F.col("at").alias("_sr_lost")), "dedup-lost")
+    return docs.join(small(lost, 32), docs["_sr_at"] == lost["_sr_lost"], "left_anti").drop("_sr_at")
 
 
 def op4_query(docs: DataFrame) -> DataFrame:
     """The digest of :func:`exact_dedup` for each document."""
-    return exact_dedup(docs.select("doc_id", "text", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_sr_at"))).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 #: DuckDB SQL for the rows of :func:`op4_query`.
