@@ -5,27 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Scratch, spread_join
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, temp: Scratch) -> DataFrame:
     """``links`` (a, b), longs -> (node, root) for each node that has a link, root the least node.
 
     Alternating large-star and small-star rounds: each node links its larger neighbours, then its
-    smaller ones, to the least of them. Minima are aggregated before the shuffle and joined back, so
-    a hub's links stay spread; each round is a written table. It ends when a round changes nothing.
+    smaller ones, to the least of them. Minima are aggregated before the shuffle; a hub's minimum is
+    joined back by broadcast, so its links stay spread. Each round is a table in ``temp``, where the
+    result is read from, too. It ends when a round changes nothing.
     """
-    edges = stored(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-0")
+    edges = temp.stored(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc-0")
     state, turn = _state(edges), 0
-    while True:
+    least = lambda e, name: temp.stored(e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), name)
+    while state[0]:
         turn += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = stored(large, f"cc-{turn}-large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = stored(small.distinct(), f"cc-{turn}-small")
+        known = least(both, f"cc-{turn}-hubs").withColumn("m", F.least("u", "m"))
+        large = spread_join(both, known, ["u"], "n", 24).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = temp.stored(large, f"cc-{turn}-large")
+        known = least(large, f"cc-{turn}-least")
+        rest = spread_join(large, known, ["u"], "n", 24).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(known.select("u", F.col("m").alias("v")))
+        edges = temp.stored(rest.distinct(), f"cc-{turn}-small")
         if (now := _state(edges)) == state:
             break
         state = now

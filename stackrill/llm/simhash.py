@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, small, stored, text_batches
+from .common import Scratch, as_bytes, located, small, spread_join, stored, text_batches
 from .graph import components
 
 SEED = 42
@@ -144,6 +144,28 @@ def _links(batches):
         yield emit(flush(*kept, [0], [len(kept[0])]))
 
 
+def grouped_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text, locator at) -> (id, at, fp, component_id, keep_at).
+
+    ``keep_at`` is the locator of the row that stands for the component: that with the least id and
+    locator, rows without an id last.
+    """
+    spark = rows.sparkSession
+    text_batches(spark)
+    rows = stored(rows.select("id", "at", fingerprint_udf(F.col("text").cast("string")).alias("fp")), "simhash-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at")).alias("least")
+    with Scratch(spark) as temp:
+        prints = temp.stored(rows.groupBy("fp").agg(first, F.count(F.lit(1)).alias("n")), "simhash-prints")
+        met = variants(prints.select("fp")).repartition("field", "variant").sortWithinPartitions("field", "variant")
+        roots = temp.stored(components(met.mapInArrow(_links, "a long, b long"), temp), "simhash-roots")
+        joined = roots.join(prints, roots["node"] == prints["fp"]).select("node", "root", "least")
+        least = temp.stored(joined.groupBy("root").agg(F.min("least").alias("least"), F.count(F.lit(1)).alias("n")), "simhash-least")
+        named = temp.stored(spread_join(joined.select("root", F.col("node").alias("fp")), least, ["root"], "n", 64).select("fp", F.col("least").alias("all")), "simhash-named")
+        ids = stored(prints.join(small(named, 64), "fp", "left").select("fp", F.coalesce("all", "least").alias("least"), "n"), "simhash-ids")
+    joined = spread_join(rows, ids, ["fp"], "n", 64)
+    return joined.select("id", "at", "fp", F.col("least.id").alias("component_id"), F.col("least.at").alias("keep_at"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, fp (long), component_id.
 
@@ -151,29 +173,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts without words, null ones included, have fingerprint 0 and are linked like any other;
     repeated rows get equal results; other columns are not read; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    text_batches(spark)
-    rows = stored(docs.select(F.col(id_col).alias("id"), fingerprint_udf(F.col(text_col).cast("string")).alias("fp")), "simhash-rows")
-    prints = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-prints")
-    met = variants(prints.select("fp")).repartition("field", "variant").sortWithinPartitions("field", "variant")
-    links = met.mapInArrow(_links, "a long, b long")
-    roots = stored(components(links), "simhash-roots")
-    joined = roots.join(prints, roots["node"] == prints["fp"]).select("node", "root", "least")
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(joined.join(least, "root").select(F.col("node").alias("fp"), "component_id"), "simhash-named")
-    ids = prints.join(small(named, 32), "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    ids = stored(ids, "simhash-ids")
-    return rows.join(small(ids, 32), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    rows = located(docs, id=F.col(id_col), text=F.col(text_col)).withColumnRenamed("_sr_at", "at")
+    return grouped_rows(rows).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, that with the least id; all columns stay.
+    """``docs`` with one row of each group; all columns stay.
 
-    Rows without an id stay, as nothing names them.
+    The row with the least id stays, and of several with that id the first by file and row; a row
+    without an id only if none has one. Texts without words, null ones included, are one group.
     """
-    groups = near_groups(docs, id_col, text_col)
-    lost = stored(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_sr_lost")).distinct(), "simhash-lost")
-    return docs.join(small(lost, 24), docs[id_col] == lost["_sr_lost"], "left_anti")
+    docs = located(docs)
+    groups = grouped_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col("_sr_at").alias("at")))
+    lost = stored(groups.where(F.col("at") != F.col("keep_at")).select(F.col("at").alias("_sr_lost")), "simhash-lost")
+    return docs.join(small(lost, 32), docs["_sr_at"] == lost["_sr_lost"], "left_anti").drop("_sr_at")
 
 
 def op3_query(docs: DataFrame) -> DataFrame:
