@@ -69,7 +69,7 @@ def frame_transforms(frames: DataFrame, blocks: DataFrame, height: int, width: i
     path = frames.select("movie", "frame").join(drift, ["movie", "frame"], "left").withColumn("found", F.col("dx").isNotNull())
     for c in ("dx", "dy"):
         path = px.moving_median(px.interpolate(path, c), c, cal.window)
-    out = path.join(F.broadcast(tilt.join(band, "movie").join(across, "movie")), "movie")
+    out = path.join(tilt.join(band, "movie").join(across, "movie"), "movie")
     dy = F.rint("dy").cast("int")
     dx = F.rint("dx").cast("int")
     y0 = F.greatest(F.lit(0), F.least(F.lit(height) - (F.col("y1") - F.col("y0")), F.col("y0") + dy))
@@ -105,7 +105,7 @@ def crop_to_target_line(planes: DataFrame, template: np.ndarray, height: int, wi
     t = frame_transforms(frames, blocks, height, width, cal)
     if not per_frame:  # frame 0's box for all
         first = t.join(blocks.groupBy("movie").agg(F.min("frame").alias("frame")), ["movie", "frame"]).drop("frame")
-        t = frames.join(F.broadcast(first), "movie")
+        t = frames.join(first, "movie")
     return crop_planes(planes, t)
 
 

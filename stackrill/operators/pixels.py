@@ -23,6 +23,18 @@ def size_filter(labelled: DataFrame, least: int = 20, keys: Sequence[str] = ("mo
     return on.join(new, [*keys, "label"]).drop("label").withColumnRenamed("new", "label")
 
 
+def label_boxes(labelled: DataFrame, least: int = 5, keys: Sequence[str] = PLANE) -> DataFrame:
+    """Box (ends exclusive) and area of each object of at least ``least`` pixels."""
+    box = [F.min("x").alias("x0"), F.min("y").alias("y0"), (F.max("x") + 1).alias("x1"), (F.max("y") + 1).alias("y1"), F.count(F.lit(1)).alias("area")]
+    return labelled.where("label > 0").groupBy(*keys, "label").agg(*box).where(F.col("area") >= least)
+
+
+def label_overlaps(labelled: DataFrame, other: DataFrame, keys: Sequence[str] = PLANE) -> DataFrame:
+    """Pixels that each pair (label, other) of objects of two masks has in common."""
+    o = other.where("label > 0").select(*keys, "y", "x", F.col("label").alias("other"))
+    return labelled.where("label > 0").join(o, [*keys, "y", "x"]).groupBy(*keys, "label", "other").agg(F.count(F.lit(1)).alias("n"))
+
+
 def map_values(labelled: DataFrame, codes: DataFrame, keys: Sequence[str] = ("movie", "frame", "label"), background: int = 0) -> DataFrame:
     """``code`` of each pixel's object; background and unknown objects get ``background``."""
     return labelled.join(codes.select(*keys, "code"), list(keys), "left").fillna({"code": background})
@@ -98,24 +110,27 @@ def equalise(pixels: DataFrame, keys: Sequence[str] = PLANE) -> DataFrame:
     return zscore(pixels.drop("value").join(hist.select(*keys, "scaled", mapped.alias("value")), [*keys, "scaled"]), keys)
 
 
-def _shifted(pixels: DataFrame, keys: Sequence[str], offsets: Sequence[tuple[int, int, float]]) -> DataFrame:
-    """Each pixel's value sent, with a weight, to the places at ``offsets``."""
-    sent = F.explode(F.array(*(F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x"), (F.col("value") * w).alias("v")) for dy, dx, w in offsets)))
-    return pixels.select(*keys, sent.alias("p")).select(*keys, "p.y", "p.x", "p.v")
-
-
 def laplacian(pixels: DataFrame, keys: Sequence[str] = PLANE) -> DataFrame:
-    """Sum of the four neighbours minus four times the pixel; inner pixels only."""
-    sent = _shifted(pixels, keys, [(0, 0, -4.0), (1, 0, 1.0), (-1, 0, 1.0), (0, 1, 1.0), (0, -1, 1.0)])
-    return sent.groupBy(*keys, "y", "x").agg(F.sum("v").alias("value"), F.count(F.lit(1)).alias("n")).where("n = 5").drop("n")
+    """Sum of the four neighbours minus four times the pixel; only where all four are there.
+
+    Neighbours come from windows along rows and columns: a pixel is shuffled twice, never copied.
+    """
+    row, column = Window.partitionBy(*keys, "y").orderBy("x").rangeBetween(-1, 1), Window.partitionBy(*keys, "x").orderBy("y").rangeBetween(-1, 1)
+    one = lambda w: (F.sum("value").over(w) - F.col("value"), F.count(F.lit(1)).over(w))
+    (across, nx), (down, ny) = one(row), one(column)
+    rows = pixels.withColumns({"_across": across, "_nx": nx}).withColumns({"_down": down, "_ny": ny})
+    return rows.where("_nx = 3 AND _ny = 3").select(*keys, "y", "x", (F.col("_across") + F.col("_down") - 4 * F.col("value")).alias("value"))
 
 
 def variance_filter(pixels: DataFrame, k: int = 3, keys: Sequence[str] = PLANE) -> DataFrame:
-    """E[v²] - E[v]² in the k×k box around each inner pixel."""
+    """E[v²] - E[v]² in the k×k box around each inner pixel: sums along rows, then along columns."""
     r = k // 2
-    sent = _shifted(pixels, keys, [(dy, dx, 1.0) for dy in range(-r, r + 1) for dx in range(-r, r + 1)])
-    box = sent.groupBy(*keys, "y", "x").agg(F.avg(F.col("v") * F.col("v")).alias("s"), F.avg("v").alias("m"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k * k)
-    return box.select(*keys, "y", "x", (F.col("s") - F.col("m") * F.col("m")).alias("value"))
+    row, column = Window.partitionBy(*keys, "y").orderBy("x").rangeBetween(-r, r), Window.partitionBy(*keys, "x").orderBy("y").rangeBetween(-r, r)
+    v = F.col("value")
+    along = pixels.select(*keys, "y", "x", F.sum(v).over(row).alias("s"), F.sum(v * v).over(row).alias("q"), F.count(v).over(row).alias("n"))
+    box = along.select(*keys, "y", "x", *(F.sum(c).over(column).alias(c) for c in ("s", "q", "n"))).where(F.col("n") == k * k)
+    mean = F.col("s") / F.col("n")
+    return box.select(*keys, "y", "x", (F.col("q") / F.col("n") - mean * mean).alias("value"))
 
 
 def moving_median(series: DataFrame, value: str, window: int, keys: Sequence[str] = ("movie",), order: str = "frame") -> DataFrame:

@@ -1,7 +1,7 @@
 """Array operators over plane relations: one row per 2-D plane, kernels by Arrow batch.
 
-Planes are large, so batches are short; nothing gathers a stack but alignment, which needs one
-channel of one movie.
+Planes are large, so batches are short, and nothing gathers a stack: what needs several planes joins
+them two by two, or sums them as they pass.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import PLANE
@@ -34,6 +34,11 @@ def _keys(row) -> dict:
     return {c: getattr(row, c) for c in _KEYS}
 
 
+def _large_batches(planes: DataFrame) -> DataFrame:
+    planes.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return planes
+
+
 def map_planes(planes: DataFrame, f: Callable[[np.ndarray], np.ndarray], dtype: str | None = None) -> DataFrame:
     """Each plane under ``f``; the result has its own size, and its type unless one is given."""
     planes.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -93,31 +98,46 @@ def tiles(planes: DataFrame, tile: int = 256, overlap: float = 0.33, fill: float
 def label_planes(planes: DataFrame, t: float = 0.5, least: int = 20, diagonal: bool = False) -> DataFrame:
     """Label planes (int32) of each plane's pixels above ``t``, without objects below ``least`` pixels."""
 
-    def f(img: np.ndarray) -> np.ndarray:
-        parts, n = k.label(img > t, diagonal)
-        keep = np.bincount(parts.ravel(), minlength=n + 1) >= least
-        keep[0] = False
-        return (np.cumsum(keep) * keep)[parts]
+    return map_planes(planes, lambda img: _components(img, t, least, diagonal), "int32")
 
-    return map_planes(planes, f, "int32")
 
+def _components(img: np.ndarray, t: float, least: int, diagonal: bool) -> np.ndarray:
+    """Components of the pixels above ``t``, numbered in raster order, without those below ``least``."""
+    parts, n = k.label(img > t, diagonal)
+    keep = np.bincount(parts.ravel(), minlength=n + 1) >= least
+    keep[0] = False
+    return (np.cumsum(keep) * keep)[parts]
 
-def labelled_pixels(pixels: DataFrame, t: float = 0.5, keys: Sequence[str] = ("movie", "frame"), diagonal: bool = False) -> DataFrame:
-    """``pixels`` above ``t`` with the number of their component in the frame, in raster order.
 
-    The group is one frame of a movie, dense in y and x.
+def labelled_pixels(planes: DataFrame, t: float = 0.5, least: int = 1, diagonal: bool = False) -> DataFrame:
+    """(movie, frame, y, x, value, label) of the labelled pixels of each plane.
+
+    A plane is labelled where it is read: only pixels of objects become rows, and nothing is shuffled.
     """
-    fields = [*(f"`{c}` {pixels.schema[c].dataType.simpleString()}" for c in keys), "y int", "x int", "value double", "label int"]
-    names = [*keys, "y", "x", "value", "label"]
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        y, x, v = df["y"].to_numpy(), df["x"].to_numpy(), df["value"].to_numpy(float)
-        img = np.full((y.max() + 1, x.max() + 1), -np.inf)
-        img[y, x] = v
-        parts, _ = k.label(img > t, diagonal)
-        return df.assign(label=parts[y, x])[names]
+    def run(batches):
+        for df in batches:
+            for r in df.itertuples():
+                img = decode(r)
+                parts = _components(img, t, least, diagonal)
+                y, x = np.nonzero(parts)
+                yield pd.DataFrame({"movie": r.movie, "frame": r.frame, "y": y.astype(np.int32), "x": x.astype(np.int32), "value": img[y, x].astype(float), "label": parts[y, x].astype(np.int32)})
 
-    return pixels.groupBy(*keys).applyInPandas(run, ", ".join(fields)).where("label > 0")
+    return _large_batches(planes).mapInPandas(run, "movie string, frame int, y int, x int, value double, label int")
+
+
+def measure_components(planes: DataFrame, t: float = 0.5, least: int = 1, diagonal: bool = False) -> DataFrame:
+    """Region properties of the components of each plane: labelled and measured in one map."""
+    whole = {c for c in k.REGION if c.startswith("bbox")}
+    names = [*_KEYS, "label", *k.REGION]
+
+    def run(batches):
+        for df in batches:
+            for r in df.itertuples():
+                img = decode(r)
+                yield pd.DataFrame(_keys(r) | k.region_table(_components(img, t, least, diagonal), img))[names]
+
+    return _large_batches(planes).mapInPandas(run, ", ".join(["movie string, frame int, slice int, channel int, label int", *(f"{c} {'int' if c in whole else 'double'}" for c in k.REGION)]))
 
 
 def measure_planes(stack: DataFrame, labels: DataFrame, channel: int, q: float = 0.10) -> DataFrame:
@@ -143,20 +163,26 @@ def measure_planes(stack: DataFrame, labels: DataFrame, channel: int, q: float =
     return both.mapInPandas(run, kinds)
 
 
-def shape_measures(labelled: DataFrame, keys: Sequence[str] = ("movie", "frame")) -> DataFrame:
-    """solidity, border_complexity and rod_shape_coef of each object; the group is one frame."""
-    fields = ", ".join([*(f"`{c}` {labelled.schema[c].dataType.simpleString()}" for c in keys), "label int", "solidity double", "border_complexity double", "rod_shape_coef double"])
+def shape_measures(labels: DataFrame) -> DataFrame:
+    """solidity, border_complexity and rod_shape_coef of each object of label planes."""
+    names = ["movie", "frame", "label", "solidity", "border_complexity", "rod_shape_coef"]
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        at, rows = df[["y", "x"]].to_numpy(), []
-        for n, index in df.groupby("label").indices.items():
-            y, x = at[index].T
-            mask = np.zeros((y.max() - y.min() + 1, x.max() - x.min() + 1), bool)
-            mask[y - y.min(), x - x.min()] = True
-            rows.append((*(df[c].iloc[0] for c in keys), n, len(y) / k.convex_area(y, x), k.border_complexity(mask), k.rod_shape(mask)))
-        return pd.DataFrame(rows, columns=[*keys, "label", "solidity", "border_complexity", "rod_shape_coef"])
+    def run(batches):
+        for df in batches:
+            rows = []
+            for r in df.itertuples():
+                parts = np.frombuffer(r.pixels, np.int32).reshape(r.height, r.width)
+                ys, xs = np.nonzero(parts)
+                n = parts[ys, xs]
+                order = np.argsort(n, kind="stable")
+                for own in np.split(order, np.flatnonzero(np.diff(n[order])) + 1) if len(n) else []:
+                    y, x = ys[own], xs[own]
+                    mask = np.zeros((y.max() - y.min() + 1, x.max() - x.min() + 1), bool)
+                    mask[y - y.min(), x - x.min()] = True
+                    rows.append((r.movie, r.frame, int(n[own[0]]), len(y) / k.convex_area(y, x), k.border_complexity(mask), k.rod_shape(mask)))
+            yield pd.DataFrame(rows, columns=names)
 
-    return labelled.groupBy(*keys).applyInPandas(run, fields)
+    return _large_batches(labels).mapInPandas(run, "movie string, frame int, label int, solidity double, border_complexity double, rod_shape_coef double")
 
 
 def dilated_measures(labelled: DataFrame, pixels: DataFrame, times: int = 1, keys: Sequence[str] = ("movie", "frame")) -> DataFrame:
@@ -217,21 +243,34 @@ def paint(points: DataFrame, height: int, width: int, keys: Sequence[str] = ("mo
 
 
 def align_shifts(planes: DataFrame, channel: int = 0, slice_: int = 0, reference: str = "first") -> DataFrame:
-    """(movie, frame, dy, dx) that aligns each frame to the first, or to the one before it."""
+    """(movie, frame, dy, dx) that aligns each frame to the first, or to the one before it.
+
+    Each plane is joined with the one plane that it is compared to; no task holds a movie.
+    """
     one = planes.where((F.col("channel") == channel) & (F.col("slice") == slice_))
+    frames = one.select("movie", "frame")
+    if reference == "previous":
+        before = frames.withColumn("ref", F.lag("frame").over(Window.partitionBy("movie").orderBy("frame")))
+    else:
+        before = frames.join(frames.groupBy("movie").agg(F.min("frame").alias("ref")), "movie")
+    refs = one.select("movie", F.col("frame").alias("ref"), F.col("pixels").alias("base"))
+    both = one.join(before, ["movie", "frame"]).join(refs, ["movie", "ref"], "left")
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        rows, ref, total = [], None, np.zeros(2, int)
-        for r in df.sort_values("frame").itertuples():
-            img = decode(r).astype(float)
-            shift = np.zeros(2, int) if ref is None else np.array(k.shift_between(ref, img))
-            total = total + shift if reference == "previous" else shift
-            rows.append((r.movie, r.frame, int(total[0]), int(total[1])))
-            if ref is None or reference == "previous":
-                ref = img
-        return pd.DataFrame(rows, columns=["movie", "frame", "dy", "dx"])
+    def run(batches):
+        for df in batches:
+            rows = []
+            for r in df.itertuples():
+                shift = (0, 0)
+                if r.base is not None and r.ref != r.frame:
+                    shift = k.shift_between(np.frombuffer(r.base, r.dtype).reshape(r.height, r.width).astype(float), decode(r).astype(float))
+                rows.append((r.movie, r.frame, *map(int, shift)))
+            yield pd.DataFrame(rows, columns=["movie", "frame", "dy", "dx"])
 
-    return one.groupBy("movie").applyInPandas(run, "movie string, frame int, dy int, dx int")
+    found = _large_batches(both).mapInPandas(run, "movie string, frame int, dy int, dx int")
+    if reference != "previous":
+        return found
+    so_far = Window.partitionBy("movie").orderBy("frame")
+    return found.select("movie", "frame", *(F.sum(c).over(so_far).cast("int").alias(c) for c in ("dy", "dx")))
 
 
 def align(planes: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -240,7 +279,7 @@ def align(planes: DataFrame, shifts: DataFrame) -> DataFrame:
     The common box follows from the shifts' extents, the same as from the least value over time.
     """
     ends = shifts.groupBy("movie").agg(*(f(c).alias(f"{c}_{n}") for c in ("dy", "dx") for n, f in (("lo", F.min), ("hi", F.max))))
-    rows = planes.join(shifts, ["movie", "frame"]).join(F.broadcast(ends), "movie")
+    rows = planes.join(shifts, ["movie", "frame"]).join(ends, "movie")
     names = [x.name for x in PLANE]
 
     def run(batches):
@@ -255,26 +294,56 @@ def align(planes: DataFrame, shifts: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, PLANE)
 
 
-def flat_field(planes: DataFrame, smooth: int = 101) -> DataFrame:
-    """Each channel over its blurred mean over time, scaled to mean 1: fitted per movie and channel.
+def plane_sums(planes: DataFrame) -> DataFrame:
+    """(movie, channel, n, total): planes of each channel summed by pixel, float64.
 
-    Means are kept by pixel in one pass of the group's planes; no stack is held.
+    Each task sums what it reads, so a movie leaves it as one plane a channel; those few are summed
+    two by two, and at most two planes are held.
     """
-    names = [x.name for x in PLANE]
+    schema = "movie string, channel int, n long, total binary"
 
-    def fit(df: pd.DataFrame) -> pd.DataFrame:
-        total = sum(decode(r).astype(float) for r in df.itertuples())
-        field = k.gaussian_blur(total / len(df), smooth)
-        first = next(df.itertuples())
-        return pd.DataFrame([{"movie": first.movie, "channel": first.channel, "field": (field / field.mean()).astype(np.float32).tobytes()}])
+    def partial(batches):
+        sums: dict = {}
+        for df in batches:
+            for r in df.itertuples():
+                n, total = sums.get((r.movie, r.channel), (0, 0.0))
+                sums[r.movie, r.channel] = n + 1, total + decode(r).astype(float)
+        yield pd.DataFrame([(*key, n, total.tobytes()) for key, (n, total) in sums.items()], columns=["movie", "channel", "n", "total"])
 
-    fields = planes.groupBy("movie", "channel").applyInPandas(fit, "movie string, channel int, field binary")
+    def whole(batches):
+        key, n, total = None, 0, None
+        for df in batches:
+            for r in df.itertuples():
+                if key != (r.movie, r.channel):
+                    if key:
+                        yield pd.DataFrame([(*key, n, total.tobytes())], columns=df.columns)
+                    key, n, total = (r.movie, r.channel), 0, 0.0
+                n, total = n + r.n, total + np.frombuffer(r.total, float)
+        if key:
+            yield pd.DataFrame([(*key, n, total.tobytes())], columns=["movie", "channel", "n", "total"])
+
+    parts = _large_batches(planes).mapInPandas(partial, schema)
+    return parts.repartition("movie", "channel").sortWithinPartitions("movie", "channel").mapInPandas(whole, schema)
+
+
+def flat_field(planes: DataFrame, smooth: int = 101) -> DataFrame:
+    """Each channel over its blurred mean over time, scaled to mean 1: fitted per movie and channel."""
+    names = [x.name for x in PLANE]
+    fields = plane_sums(planes)
 
     def run(batches):
+        last, field = None, None
         for df in batches:
-            yield pd.DataFrame([encode(_keys(r), decode(r) / np.maximum(np.frombuffer(r.field, np.float32).reshape(r.height, r.width), 1e-6)) for r in df.itertuples()], columns=names)
-
-    return planes.join(fields, ["movie", "channel"]).select(*names, "field").mapInPandas(run, PLANE)
+            rows = []
+            for r in df.itertuples():
+                if last != (r.movie, r.channel):
+                    last = r.movie, r.channel
+                    field = k.gaussian_blur(np.frombuffer(r.total, float).reshape(r.height, r.width) / r.n, smooth)
+                    field = np.maximum((field / field.mean()).astype(np.float32), 1e-6)
+                rows.append(encode(_keys(r), decode(r) / field))
+            yield pd.DataFrame(rows, columns=names)
+
+    return _large_batches(planes.join(fields, ["movie", "channel"]).select(*names, "n", "total")).mapInPandas(run, PLANE)
 
 
 def background_by_plane(planes: DataFrame, labels: DataFrame, q: float = 0.10) -> DataFrame:

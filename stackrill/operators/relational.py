@@ -63,6 +63,11 @@ def distinct_instances(df: DataFrame, by: Sequence[str] = ("frame",)) -> DataFra
     return df.groupBy(*by).agg(F.countDistinct(F.when(F.col("label") > 0, F.col("label"))).alias("instances"))
 
 
+def object_totals(df: DataFrame, keys: Sequence[str] = ("movie",)) -> DataFrame:
+    """Objects (label above 0) over all frames, the largest label, and frames that have objects."""
+    return df.where("label > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("objects"), F.max("label").cast("int").alias("top_label"), F.countDistinct("frame").alias("frames"))
+
+
 def join_classes(measured: DataFrame, detected: DataFrame, keys: Sequence[str] = ("movie", "frame", "label")) -> DataFrame:
     """Class and score of each object; objects without a detection are ``unknown`` with score 0."""
     d = detected.select(*keys, "object_class", "detection_score")
@@ -200,7 +205,7 @@ def overlapping_boxes(boxes: DataFrame, least: float, cell: float, key: str = "m
 
 def nearest_reference(found: DataFrame, reference: DataFrame, most: float, key: str = "movie") -> DataFrame:
     """Shift (dx, dy) of each found block from the reference block nearest by x, within ``most`` both ways."""
-    pairs = found.join(F.broadcast(reference.select(key, F.col("x").alias("rx"), F.col("y").alias("ry"))), key)
+    pairs = found.join(reference.select(key, F.col("x").alias("rx"), F.col("y").alias("ry")), key)
     near = pairs.groupBy(key, "frame", "x", "y").agg(F.min_by(F.struct("rx", "ry"), F.struct(F.abs(F.col("x") - F.col("rx")), F.col("rx"))).alias("r"))
     out = near.select(key, "frame", "x", "y", (F.col("x") - F.col("r.rx")).alias("dx"), (F.col("y") - F.col("r.ry")).alias("dy"))
     return out.where((F.abs("dx") <= most) & (F.abs("dy") <= most))
@@ -239,11 +244,26 @@ def unfinished(files: DataFrame, outputs: DataFrame, endings: Sequence[str] = ("
     return files.join(done, "stem", "left_anti")
 
 
+def numbered(rows: DataFrame, order: Sequence[str], number: str = "number") -> DataFrame:
+    """``number`` of each row from 0 in the order of ``order``, which must tell all rows apart.
+
+    Rows are dealt out by ranges and counted in each; a range's first number is the sum over the
+    ranges before it, one row for each of them. The input is read twice and must not change.
+    """
+    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_from"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    firsts = F.min(F.struct(*order)).over(Window.partitionBy("_part"))
+    return ranged.withColumns({"_own": own, "_from": firsts}).join(starts, "_from").withColumn(number, F.col("_start") + F.col("_own")).drop("_part", "_own", "_from", "_start")
+
+
 def split_blocks(files: DataFrame, blocks: int, order: str = "name") -> DataFrame:
-    """``block`` of each file: consecutive runs of ceil(n / blocks) files by name."""
-    at = F.row_number().over(Window.orderBy(order)) - 1
+    """``block`` of each file: consecutive runs of ceil(n / blocks) files by name, then by all columns."""
     n = files.agg(F.ceil(F.count(F.lit(1)) / blocks).alias("size"))
-    return files.withColumn("at", at).crossJoin(F.broadcast(n)).select(*files.columns, F.floor(F.col("at") / F.col("size")).cast("int").alias("block"))
+    at = numbered(files, [order, *(c for c in files.columns if c != order)], "at")
+    return at.crossJoin(F.broadcast(n)).select(*files.columns, F.floor(F.col("at") / F.col("size")).cast("int").alias("block"))
 
 
 def split_worklists(spark, folder: str, blocks: int, pattern: str = "", extension: str = "") -> list[list[str]]:

@@ -55,7 +55,7 @@ _P = """p AS (
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return planes.labelled_pixels(pixel_table(spark, sf), 0.05)
+    return planes.labelled_pixels(plane_table(spark, sf), 0.05)
 
 
 #: Components of each plane by reachability, numbered by their first pixel.
@@ -108,10 +108,12 @@ a AS (SELECT movie, frame, label, count(*)::DOUBLE AS area, avg(y) AS centroid_0
         CASE WHEN count(DISTINCT value) < 10 THEN 0 ELSE skewness(value) END AS roi_skewness FROM l GROUP BY ALL),
 e AS (SELECT *, 4 * sqrt(greatest((a + c) / 2 + sqrt(((a - c) / 2) ** 2 + b * b), 0)) AS major_axis_length, 4 * sqrt(greatest((a + c) / 2 - sqrt(((a - c) / 2) ** 2 + b * b), 0)) AS minor_axis_length FROM a)
 SELECT movie, frame, label, bbox_y0, bbox_x0, bbox_y1, bbox_x1, {_r('area', 'centroid_0', 'centroid_1', 'max_intensity', 'min_intensity', 'mean_intensity', 'roi_std_dev', 'roi_skewness')},
-       round(major_axis_length, 4) AS major_axis_length, round(minor_axis_length, 4) AS minor_axis_length FROM e""")
+       round(major_axis_length, 4) AS major_axis_length, round(minor_axis_length, 4) AS minor_axis_length,
+       coalesce(nullif(round(CASE WHEN abs(a - c) < 1e-9 THEN CASE WHEN b < -1e-9 THEN pi() / 4 ELSE -pi() / 4 END ELSE atan2(CASE WHEN abs(b) < 1e-9 THEN 0 ELSE -2 * b END, c - a) / 2 END, 4) + 0.0, -1.5708), 1.5708) AS orientation FROM e""")
 def _roi_measure(spark, sf):
-    rows = pixels.region_measures(labelled(spark, sf)).drop("orientation")
-    return rows.withColumns({c: F.round(c, 4) for c in ("major_axis_length", "minor_axis_length")})
+    rows = planes.measure_components(plane_table(spark, sf), 0.05).drop("slice", "channel")
+    rows = rows.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in ("major_axis_length", "minor_axis_length", "orientation")})
+    return rows.replace({-1.5708: 1.5708}, subset=["orientation"])  # one line, two names
 
 
 @_query("summary_by", f"SELECT event_type, {_r('mean', 'max', 'min', 'std', 'q95', 'q05')}, n FROM (SELECT event_type, avg(value) AS mean, max(value) AS max, min(value) AS min, stddev_samp(value) AS std, quantile_cont(value, 0.95) AS q95, quantile_cont(value, 0.05) AS q05, count(value) AS n FROM events GROUP BY 1)")
@@ -411,11 +413,11 @@ def _tilt_fit(spark, sf):
     return pixels.line_fit(boxes(spark, sf).select("movie", "frame", F.col("y1").alias("y"), F.col("x1").alias("x")))
 
 
-@_query("x_calibration", f"""WITH {_B}, s AS (SELECT movie, frame, min(x1) AS lo, max(x1) AS hi, count(*) AS n FROM b WHERE box % 7 = 0 GROUP BY 1, 2), w AS (SELECT *, CASE WHEN n >= 2 THEN lo > 40 ELSE lo > 300 END AS l, CASE WHEN n >= 2 THEN hi < 960 ELSE hi < 700 END AS r FROM s)
+@_query("x_calibration", f"""WITH {_B}, s AS (SELECT movie, frame, min(x1) AS lo, max(x1) AS hi, count(*) AS n FROM b GROUP BY 1, 2), w AS (SELECT *, CASE WHEN n >= 2 THEN lo > 40 ELSE lo > 300 END AS l, CASE WHEN n >= 2 THEN hi < 960 ELSE hi < 700 END AS r FROM s)
 SELECT movie, frame, CASE WHEN l AND r THEN 'BOTH' WHEN l THEN 'LEFT' WHEN r THEN 'RIGHT' ELSE 'centre' END || CASE WHEN n < 2 AND (l OR r) THEN '_n1' ELSE '' END AS "case",
  CASE WHEN l THEN greatest(0, CAST(round_even(lo + CASE WHEN n >= 2 THEN 0 ELSE -100 END - 20, 0) AS INTEGER)) ELSE 0 END AS x0, CASE WHEN r THEN least(1100, CAST(round_even(hi + CASE WHEN n >= 2 THEN 0 ELSE 100 END + 20, 0) AS INTEGER)) ELSE 1100 END AS x1 FROM w""")
 def _x_calibration(spark, sf):
-    b = boxes(spark, sf).where("box % 7 = 0").select("movie", "frame", F.col("x1").alias("x"))
+    b = boxes(spark, sf).select("movie", "frame", F.col("x1").alias("x"))
     return pixels.x_band(b, 1100, {"threshold": 40, "offset": -20, "single_threshold": 300, "spacing": 100}, {"threshold": 960, "offset": 20, "single_threshold": 700, "spacing": 100})
 
 
@@ -464,19 +466,37 @@ def _hungarian_v5(spark, sf):
     return tracks.track_objects(_track_input(spark, sf), tracks.DivisionTracker(max_distance=60.0))
 
 
-@_query("nms")
+def _nms_sql(rival: str) -> str:
+    """Greedy suppression, box by box in falling rank: the state is the list of boxes kept so far."""
+    return f"""WITH RECURSIVE {_B}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY movie, frame ORDER BY rank DESC, x1, y1, x2, y2, class_id, score) AS n FROM (
+    SELECT *, score + 1e-7 * ((x2 - x1) * (y2 - y1)) / greatest(max((x2 - x1) * (y2 - y1)) OVER (PARTITION BY movie, frame), 1e-12) AS rank FROM b)),
+s AS (
+  SELECT movie, frame, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE, class_id INTEGER, score DOUBLE)[]) AS kept FROM b GROUP BY 1, 2
+  UNION ALL
+  SELECT s.movie, s.frame, r.n, CASE WHEN len(list_filter(s.kept, lambda k: {rival}
+      greatest(least(k.x2, r.x2) - greatest(k.x1, r.x1), 0) * greatest(least(k.y2, r.y2) - greatest(k.y1, r.y1), 0)
+      > 0.4 * ((k.x2 - k.x1) * (k.y2 - k.y1) + (r.x2 - r.x1) * (r.y2 - r.y1) - greatest(least(k.x2, r.x2) - greatest(k.x1, r.x1), 0) * greatest(least(k.y2, r.y2) - greatest(k.y1, r.y1), 0)))) = 0
+    THEN list_append(s.kept, struct_pack(x1 := r.x1, y1 := r.y1, x2 := r.x2, y2 := r.y2, class_id := r.class_id, score := r.score)) ELSE s.kept END
+  FROM s JOIN r ON r.movie = s.movie AND r.frame = s.frame AND r.n = s.n + 1
+)
+SELECT movie, frame, k.x1 AS x1, k.y1 AS y1, k.x2 AS x2, k.y2 AS y2, k.class_id AS class_id, round(k.score, 6) AS score
+FROM (SELECT movie, frame, unnest(kept) AS k FROM (SELECT movie, frame, arg_max(kept, n) AS kept FROM s GROUP BY 1, 2))"""
+
+
+@_query("nms", _nms_sql(""))
 def _nms(spark, sf):
     return detect.suppress(boxes(spark, sf).drop("box"), 0.4)
 
 
-@_query("nms_per_class")
+@_query("nms_per_class", _nms_sql("k.class_id = r.class_id AND"))
 def _nms_per_class(spark, sf):
     return detect.suppress(boxes(spark, sf).drop("box"), 0.4, per_class=True)
 
 
 @_query("shape_measures")
 def _shape_measures(spark, sf):
-    return planes.shape_measures(labelled(spark, sf))
+    return planes.shape_measures(planes.label_planes(plane_table(spark, sf), 0.05, 1))
 
 
 def plane_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -496,18 +516,29 @@ def plane_table(spark: SparkSession, sf: str) -> DataFrame:
     return e.mapInPandas(run, PLANE)
 
 
-@_query("plane_background")
+def _blur_sql(source: str, size: int) -> str:
+    """CTE ``g``: ``source`` (movie, frame, y, x, value) blurred by ``size`` taps, borders mirrored."""
+    from ..operators.kernels import gaussian_kernel
+
+    taps = ", ".join(f"({i - size // 2}, {w!r}::DOUBLE)" for i, w in enumerate(gaussian_kernel(size).tolist()))
+    mirror = lambda c: f"CASE WHEN abs({c}) % 14 >= 8 THEN 14 - abs({c}) % 14 ELSE abs({c}) % 14 END"
+    return f"""taps AS (SELECT * FROM (VALUES {taps}) t(d, w)),
+down AS (SELECT a.movie, a.frame, a.y, a.x, sum(w * b.value) AS value FROM {source} a, taps, {source} b WHERE a.movie = b.movie AND a.frame = b.frame AND a.x = b.x AND b.y = {mirror('(a.y + d)')} GROUP BY ALL),
+g AS (SELECT a.movie, a.frame, a.y, a.x, sum(w * b.value) AS value FROM down a, taps, down b WHERE a.movie = b.movie AND a.frame = b.frame AND a.y = b.y AND b.x = {mirror('(a.x + d)')} GROUP BY ALL)"""
+
+
+@_query("plane_background", f"WITH {_P}, {_blur_sql('p', 5)} SELECT movie, frame, 0 AS slice, 0 AS channel, y, x, round(CAST(CAST(greatest(p.value - g.value, 0) AS FLOAT) AS DOUBLE), 6) AS value FROM p JOIN g USING (movie, frame, y, x)")
 def _plane_background(spark, sf):
     return planes.to_pixels(planes.clear_background(plane_table(spark, sf), 5.0, "pixel", "subtract"))
 
 
-@_query("plane_tiles")
+@_query("plane_tiles", f"WITH {_P}, o AS (SELECT unnest([0, 2, 4]) AS o) SELECT movie, frame, CAST(a.o AS INTEGER) AS off_y, CAST(c.o AS INTEGER) AS off_x, 4 AS valid_h, 4 AS valid_w FROM (SELECT DISTINCT movie, frame FROM p), o a, o c")
 def _plane_tiles(spark, sf):
     t = planes.tiles(plane_table(spark, sf), 4, 0.33)
     return t.select("movie", "frame", "off_y", "off_x", "valid_h", "valid_w")
 
 
-@_query("plane_labels")
+@_query("plane_labels", f"WITH RECURSIVE {_L}, k AS (SELECT movie, frame, label, dense_rank() OVER (PARTITION BY movie, frame ORDER BY label) AS n FROM (SELECT movie, frame, label FROM l GROUP BY ALL HAVING count(*) >= 3)) SELECT movie, frame, 0 AS slice, 0 AS channel, y, x, CAST(n AS DOUBLE) AS value FROM l JOIN k USING (movie, frame, label)")
 def _plane_labels(spark, sf):
     return planes.to_pixels(planes.label_planes(plane_table(spark, sf), 0.05, 3)).where("value > 0")
 
@@ -517,10 +548,21 @@ def _plane_alignment(spark, sf):
     return planes.align_shifts(plane_table(spark, sf))
 
 
-@_query("roi_crops")
+@_query("roi_crops", f"WITH RECURSIVE {_L}, k AS (SELECT movie, frame, label, dense_rank() OVER (PARTITION BY movie, frame ORDER BY label) AS n FROM (SELECT movie, frame, label FROM l GROUP BY ALL HAVING count(*) >= 3)), g AS (SELECT movie, frame, CAST(n AS INTEGER) AS label, sum(CAST(value AS FLOAT)) AS total, greatest(max(y) - min(y), max(x) - min(x)) + 1 AS side FROM l JOIN k USING (movie, frame, label) GROUP BY 1, 2, 3) SELECT movie, frame, label, 144 AS bytes, CASE WHEN side <= 6 THEN round(total, 4) END AS total FROM g")
 def _roi_crops(spark, sf):
     p = plane_table(spark, sf)
-    return planes.roi_crops(p, planes.label_planes(p, 0.05, 3), 6).select("movie", "frame", "label", F.octet_length("pixels").alias("bytes"))
+    parts = planes.label_planes(p, 0.05, 3)
+    crops = planes.roi_crops(p, parts, 6)
+
+    def sums(batches):  # a crop that was not shrunk holds its object's pixels
+        import numpy as np
+
+        for df in batches:
+            yield df.assign(bytes=[len(v) for v in df["pixels"]], total=[float(np.frombuffer(v, np.float32).sum(dtype=float)) for v in df["pixels"]])[["movie", "frame", "label", "bytes", "total"]]
+
+    box = planes.measure_components(p, 0.05, 3).select("movie", "frame", "label", F.greatest(F.col("bbox_y1") - F.col("bbox_y0"), F.col("bbox_x1") - F.col("bbox_x0")).alias("side"))
+    found = crops.mapInPandas(sums, "movie string, frame int, label int, bytes int, total double").join(box, ["movie", "frame", "label"])
+    return found.select("movie", "frame", "label", "bytes", F.when(F.col("side") <= 6, F.round("total", 4)).alias("total"))
 
 
 @_query("flat_field")
@@ -542,9 +584,15 @@ def _object_clusters(spark, sf):
     return models.clusters(m, ("area", "centroid_0", "centroid_1"), 4)
 
 
+def _registered() -> dict:
+    from . import operator_queries  # noqa: F401  adds its queries to those above
+
+    return _ALL
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, (f, _) in _ALL.items()}
+    return {k: f for k, (f, _) in _registered().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in _ALL.items() if s}
+    return {k: s for k, (_, s) in _registered().items() if s}

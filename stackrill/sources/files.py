@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +24,46 @@ def find_files(spark: SparkSession, folder: str, pattern: str = "", worklist: li
     The listing reads no content. Full paths are kept.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", f"{pattern}*").load(folder).select("path")
-    files = listed.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
-    files = files.where(F.col("name").rlike(r"\.(" + "|".join(e.replace(".", r"\.") for e in EXTENSIONS) + ")$"))
-    files = files.withColumn("stem", strip_extension(F.col("name")))
+    wanted = None if worklist is None else spark.createDataFrame([(w,) for w in worklist], "name string")
+    return select_files(listed, pattern, wanted).select("path", "name", "stem")
+
+
+def select_files(listed: DataFrame, pattern: str = "", worklist: DataFrame | None = None) -> DataFrame:
+    """``listed`` (path) with name and stem: images whose name begins with ``pattern`` and, given a
+    ``worklist`` of names or paths, is on it."""
+    rows = listed.withColumn("name", F.element_at(F.split("path", "/"), -1))
+    rows = rows.where(F.col("name").startswith(pattern) & F.col("name").rlike(r"\.(" + "|".join(e.replace(".", r"\.") for e in EXTENSIONS) + ")$"))
+    rows = rows.withColumn("stem", strip_extension(F.col("name")))
     if worklist is not None:
-        wanted = spark.createDataFrame([(w.rstrip("/").rsplit("/", 1)[-1],) for w in worklist], "name string")
-        files = files.join(wanted.distinct(), "name", "left_semi").select("path", "name", "stem")
-    return files
+        wanted = worklist.select(F.element_at(F.split(F.rtrim("name"), "/"), -1).alias("name"))
+        rows = rows.join(wanted, "name", "left_semi")
+    return rows
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in ``spark.checkpoint.dir``; only a local master without one gets a local folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.gettempdir()}/checkpoints"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return path.toString()
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """One CSV file with a header at ``path``; for tables of a size that one file should hold."""
+    spark = df.sparkSession
+    part = f"{path}.parts"
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(part)
+    source = spark._jvm.org.apache.hadoop.fs.Path(part)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (only,) = [s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")]
+    fs.rename(only, spark._jvm.org.apache.hadoop.fs.Path(path))
+    fs.delete(source, True)
 
 
 def outputs(spark: SparkSession, folder: str, endings: tuple[str, ...] = ("_summary.csv", "_fl.csv")) -> DataFrame:
