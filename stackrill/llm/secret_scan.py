@@ -4,7 +4,7 @@ Pattern kinds are leftmost, non-overlapping matches. Entropy spans come from can
 runs of key characters): for the candidate's character class, a window slides over it and its
 Shannon entropy follows from counts that change by one character in and one out; a candidate is
 reported from its first window over the class's bar to the end of its last. Allow-listed candidates
-and those inside a pattern span are left out.
+and those inside a pattern span are left out; letters alone are a candidate like any other.
 
 One projection of the table; nothing is shuffled and no text leaves the JVM.
 """
@@ -32,12 +32,13 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 BARS = {"hex": 3.05, "alnum": 3.65, "base64": 3.85}
 CLASSES = {"hex": "^[0-9A-Fa-f]+$", "alnum": "^[A-Za-z0-9]+$", "base64": "^[A-Za-z0-9+/_=-]+$"}
-#: Candidates that are no secrets: placeholders, runs, UUIDs, and words joined by signs.
-ALLOWED = (
-    "(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Ss][Aa][Mm][Pp][Ll][Ee]|[Dd][Uu][Mm][Mm][Yy]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{6,}|0{8,}|12345678|abcdefgh|ABCDEFGH)"
-    "|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-    "|^[A-Za-z]*(?:[+/_=-]+[A-Za-z]*)*$|^[0-9+/_=-]+$|^[+/_=-]*[A-Z]?[a-z]+[0-9]{1,4}$"
-)
+#: Allow-list: placeholders (where they are half of a candidate or more), UUIDs, a word and a number,
+#: words joined by signs (no digit, and capitals only where a word begins or all through it), and
+#: candidates without a letter. No pattern loops a group, so the length of a text doesn't matter.
+PLACEHOLDERS = "|".join([*map(_either, ("example", "sample", "dummy", "placeholder")), "[Xx]{6,}", "0{8,}", "12345678", "abcdefgh", "ABCDEFGH"])
+UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+NUMBERED = "^[+/_=-]*[A-Z]?[a-z]+[0-9]{1,4}$"
+DIGIT, SIGN, LETTER, MIXED = "[0-9]", "[+/_=-]", "[A-Za-z]", "[a-z][A-Z]|[A-Z][A-Z][a-z]"
 KINDS = ("assign", "access", "hex", "entropy")
 
 #: sum of c log2 c over a window's counts c, for each c up to the window; and its limit per class.
@@ -45,22 +46,47 @@ _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 _LIMIT = {k: WINDOW * (math.log2(WINDOW) - bar) for k, bar in BARS.items()}
 
 
-def _spans(text: str, pattern: str, kind: int, group: int | None = None, least: int = 0) -> Column:
-    """Spans (code points) of the matches in column ``text``; with a group, only where it is long.
+def _allowed(hit: str, has: str, every: str = "") -> str:
+    """SQL of the allow-list; ``has`` is the dialect's search, ``every`` what makes it replace all."""
+    words = f"NOT {has.format(hit, DIGIT)} AND {has.format(hit, SIGN)} AND NOT {has.format(hit, MIXED)}"
+    left = f"length(regexp_replace({hit}, '{PLACEHOLDERS}', ''{every}))"
+    return f"(2 * {left} <= length({hit}) OR {has.format(hit, UUID)} OR {has.format(hit, NUMBERED)} OR NOT {has.format(hit, LETTER)} OR ({words}))"
+
+
+_SPAN = "start:int,kind:int,end:int,ok:boolean"
+#: Elements that one fold of :func:`_scan` goes over.
+FOLD = 256
+
+
+def _scan(items: str, kind: str, step: str, out: str) -> str:
+    """SQL of ``out`` (a ``struct<kind>``) for each element x of an array, after a running whole number
+    ``at``, from 0, that ``step`` moves on.
 
-    The text between matches and the matches, in turn, give each match's place.
+    Folds append to arrays of :data:`FOLD` elements, and one fold over the parts finds where each begins,
+    so very many elements cost no copies of the whole.
     """
+    part = f"slice(p, c * {FOLD} + 1, {FOLD})"
+    starts = f"""aggregate(sequence(0, size(p) div {FOLD}), named_struct('at', 0, 'list', CAST(array() AS array<int>)),
+        (a, c) -> named_struct('at', aggregate({part}, a.at, (s, x) -> {step.format(at='s')}), 'list', array_append(a.list, a.at)), a -> a.list)"""
+    inside = f"""aggregate({part}, named_struct('at', starts[CAST(c AS int)], 'out', CAST(array() AS array<struct<{kind}>>)),
+        (a, x) -> named_struct('at', {step.format(at='a.at')}, 'out', array_append(a.out, {out.format(at='a.at')})), a -> a.out)"""
+    return f"transform(array({items}), p -> transform(array({starts}), starts -> flatten(transform(sequence(0, size(p) div {FOLD}), c -> {inside})))[0])[0]"
+
+
+def _matches(text: str, lit: str, group: int = 0) -> str:
+    """SQL of (gap, n, hit, part) of the matches: code points before it, its own, it, and a group of it."""
+    hits = f"regexp_extract_all({text}, '{lit}', 0)"
+    gaps = f"slice(split({text}, '{lit}', -1), 1, size({hits}))"
+    both = f"zip_with({gaps}, {hits}, (g, h) -> named_struct('gap', length(g), 'n', length(h), 'hit', h))"
+    return f"zip_with({both}, regexp_extract_all({text}, '{lit}', {group}), (x, part) -> named_struct('gap', x.gap, 'n', x.n, 'hit', x.hit, 'part', part))"
+
+
+def _spans(text: str, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
+    """Spans (code points) of the matches in column ``text`` whose ``group`` is long enough."""
     lit = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    value = f"regexp_extract_all({text}, '{lit}', {group})" if group is not None else f"regexp_extract_all({text}, '{lit}', 0)"
-    return F.expr(
-        f"""CASE WHEN {text} RLIKE '{lit}' THEN filter(aggregate(
-          zip_with(zip_with(slice(split({text}, '{lit}', -1), 1, size(regexp_extract_all({text}, '{lit}', 0))), regexp_extract_all({text}, '{lit}', 0),
-                            (g, h) -> named_struct('gap', g, 'hit', h)), {value}, (x, p) -> named_struct('gap', x.gap, 'hit', x.hit, 'part', p)),
-          named_struct('at', 0, 'spans', CAST(array() AS array<struct<start:int,kind:int,end:int,ok:boolean>>)),
-          (acc, m) -> named_struct('at', acc.at + length(m.gap) + length(m.hit), 'spans', array_append(acc.spans,
-            named_struct('start', acc.at + length(m.gap), 'kind', {kind}, 'end', acc.at + length(m.gap) + length(m.hit), 'ok', length(m.part) >= {least}))),
-          acc -> acc.spans), s -> s.ok) ELSE CAST(array() AS array<struct<start:int,kind:int,end:int,ok:boolean>>) END"""
-    )
+    out = f"named_struct('start', {{at}} + x.gap, 'kind', {kind}, 'end', {{at}} + x.gap + x.n, 'ok', length(x.part) >= {least})"
+    spans = _scan(_matches(text, lit, group), _SPAN, "{at} + x.gap + x.n", out)
+    return F.expr(f"CASE WHEN {text} RLIKE '{lit}' THEN filter({spans}, s -> s.ok) ELSE CAST(array() AS array<struct<{_SPAN}>>) END")
 
 
 def _candidate_spans(text: str) -> Column:
@@ -68,11 +94,8 @@ def _candidate_spans(text: str) -> Column:
     clog = "array(" + ", ".join(f"{x!r}D" for x in _CLOG) + ")"
     limit = "CASE " + " ".join(f"WHEN s.hit RLIKE '{CLASSES[k]}' THEN {_LIMIT[k]!r}D" for k in BARS) + " ELSE -1D END"
     # For each candidate that is not allow-listed: its place, limit, and characters as small numbers.
-    placed = f"""filter(aggregate(
-        zip_with(slice(split({text}, '{lit}', -1), 1, size(regexp_extract_all({text}, '{lit}', 0))), regexp_extract_all({text}, '{lit}', 0), (g, h) -> named_struct('gap', g, 'hit', h)),
-        named_struct('at', 0, 'spans', CAST(array() AS array<struct<start:int,hit:string>>)),
-        (acc, m) -> named_struct('at', acc.at + length(m.gap) + length(m.hit), 'spans', array_append(acc.spans, named_struct('start', acc.at + length(m.gap), 'hit', m.hit))),
-        acc -> acc.spans), s -> NOT s.hit RLIKE '{ALLOWED}')"""
+    places = _scan(_matches(text, lit), "start:int,hit:string", "{at} + x.gap + x.n", "named_struct('start', {at} + x.gap, 'hit', x.hit)")
+    placed = f"""filter({places}, s -> NOT {_allowed('s.hit', "{0} RLIKE '{1}'")})"""
     coded = f"transform({placed}, s -> named_struct('start', s.start, 'limit', {limit}, 'kinds', array_distinct(regexp_extract_all(s.hit, '.', 0)), 'chars', regexp_extract_all(s.hit, '.', 0)))"
     coded = f"transform({coded}, s -> named_struct('start', s.start, 'limit', s.limit, 'n', size(s.kinds), 'ids', transform(s.chars, c -> CAST(array_position(s.kinds, c) AS int) - 1)))"
     # Slide: one character in, from the window's length on one out.
@@ -101,8 +124,10 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets")
     t = names["text"]
     rows = rows.withColumns({names["assign"]: _spans(t, ASSIGN, 0, 2, ASSIGN_VALUE), names["access"]: _spans(t, ACCESS, 1), names["hex"]: _spans(t, HEX, 2), names["entropy"]: _candidate_spans(t)})
     base = f"concat({names['assign']}, {names['access']}, {names['hex']})"
-    own = f"filter({names['entropy']}, e -> NOT exists({base}, b -> b.start <= e.start AND b.end >= e.end))"
-    spans = F.expr(f"transform(array_sort(transform(concat({base}, {own}), s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end))), s -> named_struct('start', s.start, 'kind', element_at(array('assign', 'access', 'hex', 'entropy'), s.kind + 1), 'end', s.end))")
+    # In order of place, an entropy span is left out if a pattern span that began before it ends no sooner.
+    every = f"array_sort(transform(concat({base}, {names['entropy']}), s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end)))"
+    own = _scan(every, _SPAN, "greatest({at}, CASE WHEN x.kind < 3 THEN x.end ELSE 0 END)", "named_struct('start', x.start, 'kind', x.kind, 'end', x.end, 'ok', x.kind < 3 OR {at} < x.end)")
+    spans = F.expr(f"transform(filter({own}, s -> s.ok), s -> named_struct('start', s.start, 'kind', element_at(array('assign', 'access', 'hex', 'entropy'), s.kind + 1), 'end', s.end))")
     return rows.withColumn(out, spans).drop(*names.values())
 
 
@@ -137,7 +162,7 @@ base AS ({_duck_spans(ASSIGN, 0, 2, ASSIGN_VALUE)} UNION ALL {_duck_spans(ACCESS
 cand AS ({_duck_spans(CANDIDATE, 3)}),
 win AS (
   SELECT k, start, i, hit, list_entropy(string_split(substr(hit, i, {WINDOW}), '')) AS h
-  FROM (SELECT k, start, hit, unnest(generate_series(1, length(hit) - {WINDOW} + 1)) AS i FROM cand WHERE NOT regexp_matches(hit, '{ALLOWED}'))
+  FROM (SELECT k, start, hit, unnest(generate_series(1, length(hit) - {WINDOW} + 1)) AS i FROM cand WHERE NOT {_allowed('hit', "regexp_matches({0}, '{1}')", ", 'g'")})
 ), own AS (
   SELECT k, start + min(i) - 1 AS start, start + max(i) - 1 + {WINDOW} AS "end", 3 AS kind
   FROM win WHERE h >= {_BAR} - 1e-9 GROUP BY k, win.start
