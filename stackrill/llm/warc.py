@@ -5,29 +5,32 @@ largest id; the others are revisit records that name it. Archives are uncompress
 from Spark's text writer, so they go wherever Spark can write.
 
 Reading: each task takes a byte range of an archive and splits it at every place where a record
-could begin (an empty line and the magic), also inside payloads. From each candidate's header it
-emits the candidate's offset and that of its successor. Candidates in a range are first contracted to the offset at
-which their chain leaves the range; pointer jumping over those, from the file's start, finds the one candidate
-at which the true chain enters each range. Only candidates on a chain from there are records; magic
-inside a payload is on none.
+could begin (an empty line and the magic), also inside payloads. A candidate is two numbers, its offset
+and that of its successor. Candidates in a range are contracted to the offset at which their chain
+leaves the range; pointer jumping over those, from the file's start, finds the one candidate at which
+the true chain enters each range. A second scan follows the chain from there, and only the records on
+it are read and their payloads digested, in parts; magic inside a payload is on no chain.
 """
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_bytes, scratch, small, stored, text_batches
+from .common import BROADCAST_BYTES, Scratch, as_bytes, file_number, located, scratch, small, spread_join, stored, text_batches
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 #: Payloads below this many bytes are never replaced by a revisit. Fixed value.
 MIN_REVISIT = 1000
-_GAP = len(END + MAGIC)
+_LEAD = (END + MAGIC).encode()
+_GAP = len(_LEAD)
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -56,9 +59,9 @@ def revisits(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     rows = pages.select("id", "url", payload.alias("html"), "at").select("*", sha1_hex("html").alias("digest"), F.octet_length("html").cast("long").alias("bytes"))
     key = ["digest", "bytes", "sha256"]
     rows = rows.withColumn("sha256", F.sha2(F.col("html").cast("binary"), 256))
-    groups = rows.where(F.col("bytes") >= min_revisit).groupBy(*key).agg(F.max(F.struct("id", "at")).alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*key, "keep")
+    groups = rows.where(F.col("bytes") >= min_revisit).groupBy(*key).agg(F.max(F.struct("id", "at")).alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*key, "keep", "n")
     groups = stored(groups, "warc-groups")
-    return rows.join(small(groups, 280), key, "left").drop("sha256")
+    return spread_join(rows, groups, key, "n", 160, "left").drop("sha256")
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = MIN_REVISIT) -> None:
@@ -68,9 +71,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     largest id, one is the response. A null id is below all others; its revisits name no id.
     Other columns are not read. An empty table writes no records.
     """
-    from .exact_dedup import located
-
-    rows = located(pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))).withColumnRenamed("_sr_at", "at")
+    rows = located(pages, id=F.col(id_col), url=F.col(url_col).cast("string"), html=F.col(html_col)).withColumnRenamed("_sr_at", "at")
     rows = revisits(rows, min_revisit)
     revisit = F.col("keep").isNotNull() & (F.col("keep.at") != F.col("at"))
     name = lambda c: F.when(c.isNotNull(), c.cast("string")).otherwise("")
@@ -79,7 +80,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     header = F.concat(
         F.lit(MAGIC),
         _line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        _line("WARC-Record-ID", F.concat(F.lit("<urn:sha1:"), F.sha1(F.concat_ws(":", name(F.col("id")), F.col("at.file"), F.col("at.row").cast("string")).cast("binary")), F.lit(">"))),
+        _line("WARC-Record-ID", F.concat(F.lit("<urn:sha1:"), F.sha1(F.concat_ws(":", name(F.col("id")), F.col("at.file").cast("string"), F.col("at.row").cast("string")).cast("binary")), F.lit(">"))),
         _line("WARC-Date", _DATE),
         F.coalesce(_line("WARC-Target-URI", _uri(F.col("url"))), F.lit("")),
         _line("X-Page-ID", name(F.col("id"))),
@@ -94,10 +95,6 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     rows.select(F.concat(header, block)).write.option("lineSep", END).text(path)
 
 
-_OUT = "kind string, file string, range long, off long, next long, leaves long, type string, id string, refers string, digest string, bytes long, found string"
-_SCHEMA = pa.schema([("kind", pa.string()), ("file", pa.string()), ("range", pa.int64()), ("off", pa.int64()), ("next", pa.int64()), ("leaves", pa.int64()), ("type", pa.string()), ("id", pa.string()), ("refers", pa.string()), ("digest", pa.string()), ("bytes", pa.int64()), ("found", pa.string())])
-
-
 def _header(chunk: bytes) -> tuple[dict[bytes, bytes], int] | None:
     """Header fields and the place of the block; None if it is not a header with a length."""
     end = chunk.find(b"\r\n\r\n")
@@ -113,191 +110,226 @@ def _header(chunk: bytes) -> tuple[dict[bytes, bytes], int] | None:
     return fields, (len(chunk) if end < 0 else end) + 4
 
 
-class _Range:
-    """Candidates of one byte range of one archive, in order; offsets count from its first chunk."""
+def _number(value: bytes | None) -> int | None:
+    return int(value) if value and value.isdigit() and len(value) < 19 else None
 
-    def __init__(self, file: str, start: int):
-        self.file, self.start, self.at = file, start, 0
-        self.rows: list[dict] = []
-        self.open: list[tuple[dict, int, list[bytes]]] = []  # (row, bytes still missing, block so far)
 
-    def chunk(self, value: bytes) -> None:
-        lead = b"\r\n\r\nWARC/1.1\r\n"
+class _Places:
+    """Where the chunks of one byte range begin; offsets count from its first chunk."""
+
+    def __init__(self, start: int):
+        self.start, self.at = start, 0
+
+    def chunk(self, value: bytes) -> tuple[int, bytes | None, int]:
+        """(offset of a record that begins with this chunk, what follows its magic, raw offset)."""
         if self.start == 0 and self.at == 0:  # the file's first record has no empty line before it
-            begins, body, off = value.startswith(MAGIC.encode()), value[len(MAGIC) :], 0
-            full = len(value)
+            body = value[len(MAGIC) :] if value.startswith(MAGIC.encode()) else None
+            out = 0, body, 0
         else:  # the separator was before this chunk
-            begins, body, off = True, value, self.at - len(MAGIC)
-            full = len(value)
-        still = []
-        for row, missing, block in self.open:
-            part = (lead + value)[:missing]
-            block.append(part)
-            if missing > len(part):
-                still.append((row, missing - len(part), block))
-            else:
-                self._close(row, b"".join(block))
-        self.open = still
-        found = _header(body) if begins else None
-        if found:
-            fields, place = found
-            length = int(fields[b"content-length"])
-            row = {"kind": "record", "file": self.file, "range": self.start, "off": off, "next": off + len(MAGIC) + place + length + 4, "type": fields[b"warc-type"].decode("ascii", "replace"), "id": fields.get(b"x-page-id", b"").decode("ascii", "replace"), "refers": fields.get(b"x-refers-to-page-id", b"").decode("ascii", "replace"), "digest": fields.get(b"warc-payload-digest", b"").removeprefix(b"sha1:").decode("ascii", "replace"), "bytes": int(fields[b"x-payload-length"]) if fields.get(b"x-payload-length", b"").isdigit() else None, "found": None}
-            self.rows.append(row)
-            block = body[place : place + length]
-            missing = length - len(block)
-            if place > len(body):  # the block begins inside the separator that follows
-                missing = length
-                block = b""
-                self.open.append((row, missing + place - len(body), [b""])) if missing else self._close(row, b"")
-                row["_skip"] = place - len(body)
-            elif missing:
-                self.open.append((row, missing, [block]))
-            else:
-                self._close(row, block)
-        self.at += full + _GAP
-
-    @staticmethod
-    def _close(row: dict, block: bytes) -> None:
-        """The payload, behind the HTTP header, is whole: its digest."""
-        block = block[row.pop("_skip", 0) :]
-        head = block.find(b"\r\n\r\n")
-        payload = block[head + 4 :] if head >= 0 else b""
-        row["found"] = f"{hashlib.sha1(payload).hexdigest()}:{len(payload)}"
-
-    def done(self) -> list[dict]:
-        """Rows, with the offset at which each chain leaves this range, and the range's length."""
-        known = {r["off"]: r for r in self.rows}
-        for row in reversed(self.rows):
-            row.pop("_skip", None)
-            follower = known.get(row["next"])
-            row["leaves"] = follower["leaves"] if follower and row["next"] > row["off"] else row["next"]
-        return [*self.rows, {"kind": "range", "file": self.file, "range": self.start, "off": self.at}]
-
-
-def _candidates(batches):
-    now = None
+            out = self.at - len(MAGIC), value, self.at - _GAP
+        self.at += len(value) + _GAP
+        return out
+
+
+_DOORS = pa.schema([("file", pa.int64()), ("range", pa.int64()), ("off", pa.int64()), ("leaves", pa.int64())])
+
+
+def _doors(batches):
+    """(file, range, off, leaves) of the candidates of each range: the offset at which a chain from
+    there leaves the range; and a row without ``leaves`` that has the range's length."""
+    key, places, offs, nexts = None, None, array("q"), array("q")
+
+    def done():
+        off, to = np.array(offs, np.int64), np.array(nexts, np.int64)
+        at = np.minimum(np.searchsorted(off, to), max(0, len(off) - 1))
+        jump = np.where((off[at] == to) if len(off) else to < 0, at, np.arange(len(off)))
+        while not np.array_equal(far := jump[jump], jump):
+            jump = far
+        n = len(off)
+        cols = [np.full(n + 1, key[0]), np.full(n + 1, key[1]), np.append(off, places.at), np.append(to[jump], 0)]
+        mask = np.arange(n + 1) == n
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.int64(), mask=mask)], schema=_DOORS)
+
     for batch in batches:
-        out = []
-        files, starts, values = (batch.column(i).to_pylist() for i in range(3))
-        for file, start, value in zip(files, starts, values):
-            if now is None or (now.file, now.start) != (file, start):
-                out += now.done() if now else []
-                now = _Range(file, start)
-            now.chunk(value)
-        if out:
-            yield pa.RecordBatch.from_pylist(out, _SCHEMA)
-    if now:
-        yield pa.RecordBatch.from_pylist(now.done(), _SCHEMA)
-
-
-def _chain(batches):
-    """Of each range's candidates, those on the chain from its entry."""
+        for file, start, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if key != (file, start):
+                if key:
+                    yield done()
+                key, places, offs, nexts = (file, start), _Places(start), array("q"), array("q")
+            off, body, _ = places.chunk(value)
+            found = _header(body) if body is not None else None
+            if found and (length := _number(found[0][b"content-length"])) is not None:
+                offs.append(off)
+                nexts.append(off + len(MAGIC) + found[1] + length + 4)
+    if key:
+        yield done()
+
+
+class _Payload:
+    """Digest and length of the payload of a block that arrives in parts: what is behind the HTTP header."""
+
+    def __init__(self):
+        self.sha1, self.length, self.tail = hashlib.sha1(), 0, b""
+
+    def feed(self, part: bytes) -> None:
+        if self.tail is not None:  # the HTTP header has not ended yet
+            part = self.tail + part
+            end = part.find(b"\r\n\r\n")
+            if end < 0:
+                self.tail = part[-3:]
+                return
+            self.tail, part = None, part[end + 4 :]
+        self.sha1.update(part)
+        self.length += len(part)
+
+    def found(self) -> str:
+        return f"{self.sha1.hexdigest()}:{self.length}"
+
+
+_RECORD = pa.schema([("path", pa.string()), ("file", pa.int64()), ("off", pa.int64()), ("block", pa.int64()), ("next", pa.int64()), ("type", pa.string()), ("id", pa.string()), ("refers", pa.string()), ("digest", pa.string()), ("bytes", pa.int64()), ("found", pa.string())])
+_RECORD_DDL = "path string, file long, off long, block long, next long, type string, id string, refers string, digest string, bytes long, found string"
+
+
+def _records(batches):
+    """Records on the chain from each range's entry, in order; one payload is open at a time."""
+    key, places, entry, base, row, payload, missing, skip = None, None, 0, 0, None, None, 0, 0
+
+    def text(fields, name):
+        return fields.get(name, b"").decode("ascii", "replace")
+
     for batch in batches:
         out = []
-        for r in batch.to_pylist():
-            known = {c["off"]: c for c in r["candidates"]}
-            at = r["entry"]
-            while (c := known.get(at)) is not None:
-                out.append(c | {"file": r["file"], "range": r["range"]})
-                if c["next"] <= at:
-                    break
-                at = c["next"]
-        yield pa.RecordBatch.from_pylist(out, pa.schema([_SCHEMA.field(n) for n in ("file", "range", "off", "next", "type", "id", "refers", "digest", "bytes", "found")]))
-
-
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the archives under ``path``: file, off, type, id, refers, digest, bytes, found.
-
-    ``digest`` and ``bytes`` are as the header says; ``found`` is "digest:bytes" of the payload in
-    the file, null where a payload goes on in the next range (:func:`verified` reads those again).
-    """
-    text_batches(spark)
-    chunks = _chunks(spark, path)
-    every = stored(chunks.mapInArrow(_candidates, _OUT), "warc-candidates")
+        for path, file, start, value, rel, before in zip(*(batch.column(c).to_pylist() for c in ("path", "file", "range", "value", "entry", "base"))):
+            if key != (file, start):
+                if row:
+                    out.append(row)
+                key, places, entry, base, row = (file, start), _Places(start), rel, before, None
+            off, body, raw = places.chunk(value)
+            if row:
+                part = (_LEAD + value)[skip:][:missing]
+                skip = 0
+                payload.feed(part)
+                missing -= len(part)
+            elif off == entry and body is not None and (head := _header(body)) and (length := _number(head[0][b"content-length"])) is not None:
+                fields, place = head
+                entry = off + len(MAGIC) + place + length + 4
+                row = {"path": path, "file": file, "off": base + off, "block": base + off + len(MAGIC) + place, "next": base + entry, "type": text(fields, b"warc-type"), "id": text(fields, b"x-page-id"), "refers": text(fields, b"x-refers-to-page-id"), "digest": text(fields, b"warc-payload-digest").removeprefix("sha1:"), "bytes": _number(fields.get(b"x-payload-length")), "found": None}
+                payload, missing, skip = _Payload(), length, max(0, place - len(body))
+                part = body[place:][:length]
+                payload.feed(part)
+                missing -= len(part)
+            if row and not missing:
+                out.append(row | {"found": payload.found()})
+                row = None
+        yield pa.RecordBatch.from_pylist(out, _RECORD)
+    if row:
+        yield pa.RecordBatch.from_pylist([row], _RECORD)
+
+
+def _entries(chunks: DataFrame, temp: Scratch) -> DataFrame:
+    """(file, range, base, entry, rows) of each range that the chain of records enters: its place in the
+    file, and the offset in it of the first record that begins there."""
+    stored = temp.stored
+    every = stored(chunks.select("file", "range", "value").mapInArrow(_doors, "file long, range long, off long, leaves long"), "warc-candidates")
     before = F.coalesce(F.sum("off").over(Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = stored(every.where("kind = 'range'").select("file", "range", before.alias("base")), "warc-ranges")
-    found = every.where("kind = 'record'").drop("kind").join(small(bases, 160), ["file", "range"])
-    found = stored(found.select("file", "range", *((F.col(c) + F.col("base")).alias(c) for c in ("off", "next", "leaves")), "type", "id", "refers", "digest", "bytes", "found"), "warc-records")
+    bases = stored(every.where("leaves IS NULL").select("file", "range", before.alias("base")), "warc-ranges")
+    found = every.where("leaves IS NOT NULL").join(small(bases, 32), ["file", "range"])
+    found = stored(found.select("file", "range", "base", (F.col("off") + F.col("base")).alias("off"), (F.col("leaves") + F.col("base")).alias("to")), "warc-doors")
     # Pointer jumping over the candidates at which a chain can enter a range.
-    doors = found.select("file", F.col("leaves").alias("off")).distinct()
-    jump = found.join(doors, ["file", "off"], "left_semi").select("file", "off", F.col("leaves").alias("to"))
-    first = found.where("off = 0").select("file", "off", F.col("leaves").alias("to"))
+    first = found.where("off = 0").select("file", "off", "to")
+    jump = found.join(found.select("file", F.col("to").alias("off")).distinct(), ["file", "off"], "left_semi").select("file", "off", "to")
     jump = stored(jump.unionByName(first).distinct(), "warc-jump")
     reached, n = stored(first.select("file", "off"), "warc-reached"), 0
     while True:
         more = reached.join(jump, ["file", "off"]).select("file", F.col("to").alias("off"))
-        known = jump.select("file", "off")
-        reached = stored(reached.unionByName(more.join(known, ["file", "off"], "left_semi")).distinct(), "warc-reached")
+        reached = stored(reached.unionByName(more.join(jump.select("file", "off"), ["file", "off"], "left_semi")).distinct(), "warc-reached")
         if (now := reached.count()) == n:
             break
         n = now
         step = jump.select("file", F.col("off").alias("from"), F.col("to").alias("off"))
         far = jump.select("file", "off", F.col("to").alias("further"))
         jump = stored(step.join(far, ["file", "off"], "left").select("file", F.col("from").alias("off"), F.coalesce("further", "off").alias("to")), "warc-jump")
-    entries = found.select("file", "range", "off").join(reached, ["file", "off"], "left_semi").groupBy("file", "range").agg(F.min("off").alias("entry"))
-    one = F.struct("off", "next", "type", "id", "refers", "digest", "bytes", "found")
-    grouped = found.groupBy("file", "range").agg(F.collect_list(one).alias("candidates")).join(entries, ["file", "range"])
-    return grouped.select("file", "range", "entry", "candidates").mapInArrow(_chain, "file string, range long, off long, next long, type string, id string, refers string, digest string, bytes long, found string")
+    entries = found.join(reached, ["file", "off"], "left_semi").groupBy("file", "range", "base").agg((F.min("off") - F.col("base")).alias("entry"))
+    return stored(entries, "warc-entries")
 
 
-def _chunks(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.option("lineSep", END + MAGIC).text(path)
-    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), F.col("value").cast("binary").alias("value"))
+def read_warc(spark: SparkSession, path: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Records of the archives under ``path``: path, file, off, type, id, refers, digest, bytes, found, intact.
 
-
-def verified(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
-    """``records`` with ``intact``: whether a response's payload has the digest and length it states.
-
-    Payloads that go over the end of a range are put together from the archive's chunks.
+    ``digest`` and ``bytes`` are as the header says, ``found`` is "digest:bytes" of the payload in the
+    file, and ``intact`` whether a response's payload is as stated. The first scan finds candidates and
+    verifies chains; only the second one, from each range's entry, reads headers and digests payloads,
+    one at a time. Payloads that go over the end of a range are digested from all its chunks.
     """
-    records = stored(records, "warc-read")
-    open_ = records.where("type = 'response' AND found IS NULL")
-    if open_.count():
-        records = records.where("NOT (type = 'response' AND found IS NULL)").unionByName(_stitched(spark, path, open_))
+    text_batches(spark)
+    chunks = _chunks(spark, path)
+    with Scratch(spark) as temp:
+        entries = _entries(chunks, temp)
+        if entries.count() * 40 <= broadcast_bytes:
+            own = chunks.join(F.broadcast(entries), ["file", "range"])
+        else:  # chunks keep their order by number
+            numbered = chunks.mapInArrow(_numbered, f"{_CHUNK}, rel long")
+            own = numbered.join(entries.hint("merge"), ["file", "range"]).sortWithinPartitions("file", "range", "rel")
+        records = stored(own.select("path", "file", "range", "value", "entry", "base").mapInArrow(_records, _RECORD_DDL), "warc-read")
+        open_ = records.where("type = 'response' AND found IS NULL")
+        if open_.count():
+            whole = stored(_stitched(chunks, open_, temp), "warc-stitched")
+            records = records.where("NOT (type = 'response' AND found IS NULL)").unionByName(whole)
     same = F.col("found") == F.concat_ws(":", "digest", F.col("bytes").cast("string"))
     return records.withColumn("intact", F.when(F.col("type") == "response", F.coalesce(same, F.lit(False))))
 
 
-def _stitched(spark: SparkSession, path: str, open_: DataFrame) -> DataFrame:
-    """Records whose payload goes over several ranges, digested from all chunks that they overlap."""
+_CHUNK = "path string, file long, range long, value binary"
 
-    def placed(batches):
-        now, at = None, 0
-        for batch in batches:
-            offs, firsts = [], []
-            for file, start, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if now != (file, start):
-                    now, at = (file, start), 0
-                offs.append(at)
-                firsts.append(start == 0 and at == 0)
-                at += len(value) + _GAP
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(offs, pa.int64()), pa.array(firsts, pa.bool_())], ["file", "range", "value", "rel", "first"])
-
-    chunks = _chunks(spark, path).mapInArrow(placed, "file string, range long, value binary, rel long, first boolean")
-    # Ranges' places, from the chunks themselves.
-    sizes = chunks.groupBy("file", "range").agg(F.max(F.col("rel") + F.octet_length("value") + _GAP).alias("size"))
+
+def _chunks(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("lineSep", END + MAGIC).text(path)
+    name = F.col("_metadata.file_path")
+    return lines.select(name.alias("path"), file_number(lines, name).alias("file"), F.col("_metadata.file_block_start").alias("range"), F.col("value").cast("binary").alias("value"))
+
+
+def _numbered(batches):
+    """Chunks with ``rel``, their raw offset in their range."""
+    key, places = None, None
+    for batch in batches:
+        rel = []
+        for file, start, value in zip(*(batch.column(c).to_pylist() for c in ("file", "range", "value"))):
+            if key != (file, start):
+                key, places = (file, start), _Places(start)
+            rel.append(places.chunk(value)[2])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rel, pa.int64())], [*batch.schema.names, "rel"])
+
+
+def _stitched(chunks: DataFrame, open_: DataFrame, temp: Scratch) -> DataFrame:
+    """Records whose payload goes over several ranges, digested from all chunks that they overlap."""
+    placed = chunks.mapInArrow(_numbered, f"{_CHUNK}, rel long")
+    raw = F.when((F.col("range") == 0) & (F.col("rel") == 0), F.col("value")).otherwise(F.concat(F.lit(_LEAD), "value"))
+    sizes = placed.groupBy("file", "range").agg(F.max(F.col("rel") + F.octet_length("value") + F.when((F.col("range") == 0) & (F.col("rel") == 0), _GAP).otherwise(2 * _GAP)).alias("size"))
     before = F.coalesce(F.sum("size").over(Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = stored(sizes.select("file", "range", before.alias("base"), "size"), "warc-places")
-    wanted = open_.select("file", "off", "next")
-    spans = stored(wanted.join(bases.select("file", "range", "base", "size"), "file").where("base < next AND base + size > off").select("file", "range", "base", "off", "next"), "warc-spans")
-    parts = chunks.join(small(spans, 160), ["file", "range"])
-    begin = F.col("base") + F.col("rel") - F.when(F.col("first"), 0).otherwise(_GAP)
-    parts = parts.withColumn("begin", begin).withColumn("raw", F.when(F.col("first"), F.col("value")).otherwise(F.concat(F.lit((END + MAGIC).encode()), "value")))
-    parts = parts.where((F.col("begin") < F.col("next")) & (F.col("begin") + F.octet_length("raw") > F.col("off")))
-    whole = parts.groupBy("file", "off", "next").agg(F.array_sort(F.collect_list(F.struct("begin", "raw"))).alias("parts"))
+    bases = temp.stored(sizes.select("file", "range", before.alias("base"), "size"), "warc-places")
+    spans = open_.select("file", "off", "block", F.col("next") - len(END)).toDF("file", "off", "block", "end").join(bases, "file").where("base < end AND base + size > block")
+    spans = temp.stored(spans.select("file", "range", "base", "off", "block", "end"), "warc-spans")
+    parts = placed.withColumn("raw", raw).join(small(spans, 64), ["file", "range"]).withColumn("begin", F.col("base") + F.col("rel"))
+    parts = parts.where((F.col("begin") < F.col("end")) & (F.col("begin") + F.octet_length("raw") > F.col("block")))
+    clipped = F.expr("substring(raw, greatest(0, block - begin) + 1, end - greatest(block, begin))")
+    parts = parts.select("file", "off", "begin", clipped.alias("part")).repartition("file", "off").sortWithinPartitions("file", "off", "begin")
 
     def digest(batches):
+        key, payload, schema = None, None, pa.schema([("file", pa.int64()), ("off", pa.int64()), ("found", pa.string())])
+        row = lambda: {"file": key[0], "off": key[1], "found": payload.found()}
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                raw = b"".join(p["raw"] for p in r["parts"])[r["off"] - r["parts"][0]["begin"] :][: r["next"] - r["off"] - 4]
-                block = raw[raw.find(b"\r\n\r\n") + 4 :]
-                payload = block[block.find(b"\r\n\r\n") + 4 :]
-                rows.append({"file": r["file"], "off": r["off"], "found": f"{hashlib.sha1(payload).hexdigest()}:{len(payload)}"})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("file", pa.string()), ("off", pa.int64()), ("found", pa.string())]))
-
-    digests = whole.mapInArrow(digest, "file string, off long, found string")
+            out = []
+            for file, off, part in zip(*(batch.column(c).to_pylist() for c in ("file", "off", "part"))):
+                if key != (file, off):
+                    if key:
+                        out.append(row())
+                    key, payload = (file, off), _Payload()
+                payload.feed(part)
+            yield pa.RecordBatch.from_pylist(out, schema)
+        if key:
+            yield pa.RecordBatch.from_pylist([row()], schema)
+
+    digests = parts.mapInArrow(digest, "file long, off long, found string")
     return open_.drop("found").join(digests, ["file", "off"], "left").select(*open_.columns)
 
 
@@ -306,7 +338,7 @@ def op10_query(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     path = scratch(spark, "warc")
     write_warc(pages, path)
-    read = verified(spark, path, read_warc(spark, path))
+    read = read_warc(spark, path)
     kind = pages.schema["page_id"].dataType
     number = lambda c: F.when(F.col(c) != "", F.col(c)).cast(kind)
     digest = F.when((F.col("type") != "response") | F.col("intact"), F.col("digest"))
