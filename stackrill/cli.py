@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import json
 import os
+from datetime import datetime
 
 
 def _run(args: argparse.Namespace) -> int:
@@ -11,15 +13,15 @@ def _run(args: argparse.Namespace) -> int:
 
     from .operators.tracks import make_tracker
     from .plans.models import state_by_threshold
-    from .plans.pipelines import Settings, get_pipeline
+    from .plans.pipelines import Settings, get_pipeline, run_report
     from .sources.bundle import read_config
     from .sources.files import write_tables
-    from .sources.tiff import read_planes
+    from .sources.tiff import FOCUS_PIXEL_SIZE, PIXEL_SIZE, read_planes, save_tiffs
 
-    config = read_config(args.config)
+    began, config = datetime.now(), read_config(args.config)
     pipeline, _ = get_pipeline(config["pipeline"])
     spark = SparkSession.builder.appName(config["pipeline"]).getOrCreate()
-    planes = read_planes(spark, config["input"], config.get("channels", 1), config.get("slices", 1), config.get("pattern", "*.tif*"))
+    planes = read_planes(spark, config["input"], config.get("channels", 1), config.get("slices", 1), config.get("pattern", "*.tif*"), FOCUS_PIXEL_SIZE if config["pipeline"] == "out_of_focus" else PIXEL_SIZE)
     if args.worklist:
         with open(args.worklist, encoding="utf-8") as f:
             names = [os.path.basename(x.strip()).split(".tif")[0] for x in f if x.strip()]
@@ -31,6 +33,13 @@ def _run(args: argparse.Namespace) -> int:
         s.state = lambda df: state_by_threshold(df, "rel_mean_intensity", float(bar))
     result = pipeline(planes.where("error IS NULL").drop("pixel_size", "error"), s)
     write_tables(result.objects, result.summary if result.summary is not None else result.objects.limit(0), config["output"])
+    if config.get("export_labels") and result.labels is not None:
+        save_tiffs(result.labels, config["output"], "_labels.tiff", config.get("labels_type", "uint16")).collect()
+    if config.get("export_planes") and result.planes is not None:
+        save_tiffs(result.planes, config["output"], "_transformed.tiff", "float32").collect()
+    bad = planes.where("error IS NOT NULL").select("movie", "error").collect()
+    with open(os.path.join(config["output"], "run_log.json"), "w", encoding="utf-8") as f:
+        json.dump({"pipeline": config["pipeline"], "started": began.isoformat(timespec="seconds"), "seconds": round((datetime.now() - began).total_seconds(), 1), "movies": [r.asDict() for r in run_report(result).orderBy("movie").collect()] if "frame" in result.objects.columns else [], "errors": [r.asDict() for r in bad]}, f, indent=1)
     return 0
 
 
@@ -51,7 +60,9 @@ def _split(args: argparse.Namespace) -> int:
 
 
 def _script(args: argparse.Namespace) -> int:
-    print(f"#!/bin/bash\n#SBATCH --job-name={args.name}\n#SBATCH --nodes={args.nodes}\n#SBATCH --mem={args.memory}\n#SBATCH --time={args.time}\nspark-submit --num-executors {args.nodes} --executor-memory {args.memory} -m stackrill.cli run --config {args.config}")
+    run = os.path.join(os.path.dirname(os.path.abspath(__file__)), "run.py")
+    lines = ["#!/bin/bash", f"#SBATCH --job-name={args.name}", f"#SBATCH --nodes={args.nodes}", f"#SBATCH --mem={args.memory}", f"#SBATCH --time={args.time}"]
+    print("\n".join([*lines, f"spark-submit --name {args.name} --num-executors {args.nodes} --executor-memory {args.memory} {run} run --config {args.config}"]))
     return 0
 
 

@@ -63,7 +63,7 @@ def nms(boxes: np.ndarray, scores: np.ndarray, most: float, areas: np.ndarray |
     return kept
 
 
-def merge_clumps(boxes: np.ndarray, scores: np.ndarray, masks: list[np.ndarray], offsets: np.ndarray, least: int, tile: int = 256) -> list[tuple[np.ndarray, float, np.ndarray]]:
+def merge_clumps(boxes: np.ndarray, scores: np.ndarray, masks: list[np.ndarray], offsets: np.ndarray, least: int) -> list[tuple[np.ndarray, float, np.ndarray]]:
     """Clumps of tiles that overlap by ``least`` pixels become one: (box, mean score, mask in its box).
 
     ``masks`` are boolean crops at ``offsets`` (y, x). Best scores come first.
@@ -76,16 +76,19 @@ def merge_clumps(boxes: np.ndarray, scores: np.ndarray, masks: list[np.ndarray],
             parent[i] = i = parent[parent[i]]
         return i
 
-    for i in range(n):
-        for j in range(i + 1, n):
-            (yi, xi), (yj, xj) = offsets[i], offsets[j]
-            y0, x0 = max(yi, yj), max(xi, xj)
-            y1, x1 = min(yi + masks[i].shape[0], yj + masks[j].shape[0]), min(xi + masks[i].shape[1], xj + masks[j].shape[1])
-            if y1 <= y0 or x1 <= x0 or (y1 - y0) * (x1 - x0) < least:
+    at = np.asarray(offsets, int).reshape(-1, 2)
+    ends = at + np.array([m.shape for m in masks], int).reshape(-1, 2)
+    order = np.argsort(at[:, 0], kind="stable")  # from the top: a mask meets those that begin above its end
+    for k, i in enumerate(order):
+        later = order[k + 1 : np.searchsorted(at[order, 0], ends[i, 0])]
+        size = np.minimum(ends[i], ends[later]) - np.maximum(at[i], at[later])
+        for j, (h, w) in zip(later, size):
+            if h <= 0 or w <= 0 or h * w < least:
                 continue
-            a = masks[i][y0 - yi : y1 - yi, x0 - xi : x1 - xi]
-            if (a & masks[j][y0 - yj : y1 - yj, x0 - xj : x1 - xj]).sum() >= least:
-                r, s = root(i), root(j)
+            (y0, x0), (y1, x1) = np.maximum(at[i], at[j]), np.minimum(ends[i], ends[j])
+            a, b = (masks[m][y0 - at[m][0] : y1 - at[m][0], x0 - at[m][1] : x1 - at[m][1]] for m in (i, j))
+            if (a & b).sum() >= least:
+                r, s = root(int(i)), root(int(j))
                 parent[max(r, s)] = min(r, s)
     groups: dict[int, list[int]] = {}
     for i in range(n):
@@ -152,7 +155,7 @@ def merge_frame(shape: tuple[int, int], boxes: np.ndarray, scores: np.ndarray, c
     """All detections of a frame's tiles -> (labels, one row per object)."""
     boxes = np.asarray(boxes, float).reshape(-1, 4)
     clump = np.flatnonzero(classes == CLUMP)
-    merged = merge_clumps(boxes[clump], scores[clump], [masks[i] for i in clump], np.array([offsets[i] for i in clump]).reshape(-1, 2), settings.clump_overlap, settings.tile) if len(clump) else []
+    merged = merge_clumps(boxes[clump], scores[clump], [masks[i] for i in clump], np.array([offsets[i] for i in clump]).reshape(-1, 2), settings.clump_overlap) if len(clump) else []
     rest = np.flatnonzero(classes != CLUMP)
     areas = np.array([masks[i].sum() or box_area(boxes[[i]])[0] for i in rest], float)
     kept = [int(rest[k]) for k in nms(boxes[rest], scores[rest], settings.nms_iou, areas)]

@@ -6,7 +6,7 @@ them two by two, or sums them as they pass.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -140,17 +140,19 @@ def measure_components(planes: DataFrame, t: float = 0.5, least: int = 1, diagon
     return _large_batches(planes).mapInPandas(run, ", ".join(["movie string, frame int, slice int, channel int, label int", *(f"{c} {'int' if c in whole else 'double'}" for c in k.REGION)]))
 
 
-def measure_planes(stack: DataFrame, labels: DataFrame, channel: int, q: float = 0.10) -> DataFrame:
+def measure_planes(stack: DataFrame, labels: DataFrame, channel: int, q: float = 0.10, extra: Mapping[str, Callable[[np.ndarray, np.ndarray], float]] | None = None) -> DataFrame:
     """Region properties and background of one channel, a row for each object of the label planes.
 
     Equal to :func:`pixels.region_measures` over the pixel relation, but a plane stays a plane: no
-    pixel becomes a row, and only the two planes of a frame meet.
+    pixel becomes a row, and only the two planes of a frame meet. ``extra`` adds measures of one's own:
+    functions of an object's mask and of its pixels, both cut to its box, each a column of doubles.
     """
     one = stack.where(F.col("channel") == channel)
     both = one.join(labels.select("movie", "frame", F.col("pixels").alias("mask")), ["movie", "frame"])
-    names = ["movie", "frame", "slice", "channel", "label", *k.REGION, "background"]
+    extra = dict(extra or {})
+    names = ["movie", "frame", "slice", "channel", "label", *k.REGION, "background", *extra]
     whole = {c for c in k.REGION if c.startswith("bbox")}
-    kinds = ", ".join(["movie string, frame int, slice int, channel int, label int", *(f"{c} {'int' if c in whole else 'double'}" for c in k.REGION), "background double"])
+    kinds = ", ".join(["movie string, frame int, slice int, channel int, label int", *(f"{c} {'int' if c in whole else 'double'}" for c in k.REGION), "background double", *(f"`{c}` double" for c in extra)])
 
     def run(batches):
         for df in batches:
@@ -158,6 +160,9 @@ def measure_planes(stack: DataFrame, labels: DataFrame, channel: int, q: float =
                 img, parts = decode(r), np.frombuffer(r.mask, np.int32).reshape(r.height, r.width)
                 rest = img[parts == 0]
                 out = pd.DataFrame(_keys(r) | k.region_table(parts, img))
+                cuts = [np.s_[o.bbox_y0 : o.bbox_y1, o.bbox_x0 : o.bbox_x1] for o in out.astype({c: int for c in whole}).itertuples()] if extra else []
+                for name, f in extra.items():
+                    out[name] = [float(f(parts[cut] == n, img[cut])) for n, cut in zip(out["label"], cuts)]
                 yield out.assign(background=float(np.quantile(rest.astype(float), q)) if rest.size else None)[names]
 
     return both.mapInPandas(run, kinds)

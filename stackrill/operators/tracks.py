@@ -6,8 +6,9 @@ work spreads over them; everything before and after (extents, statistics, lock-i
 
 from __future__ import annotations
 
+import importlib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, fields
 
 import numpy as np
@@ -268,14 +269,48 @@ def stitch(df: pd.DataFrame, most: float = 8.0) -> pd.DataFrame:
     return df.assign(trackid=np.array([head(t) if t >= 0 else t for t in df["trackid"]], np.int32))
 
 
+#: Sections that a Bayesian tracker's configuration must have. Fixed values.
+BAYESIAN_SECTIONS = ("motion_model", "hypothesis_model")
+
+
+@dataclass
+class ExternalTracker:
+    """Adapter of a tracking library: ``load(config)`` gives, in each task, a function from an array of
+    (frame, y, x, area) to (track id, parent id) for each object, in the same order."""
+
+    load: Callable[[dict], Callable[[np.ndarray], Sequence[tuple[int, int]]]]
+    config: dict
+
+    def __post_init__(self):
+        if lacking := [x for x in BAYESIAN_SECTIONS if x not in self.config]:
+            raise ValueError(f"the tracker's configuration lacks {', '.join(lacking)}")
+
+    def track(self, df: pd.DataFrame) -> pd.DataFrame:
+        area = df["area"] if "area" in df else 1.0
+        rows = np.column_stack([df["frame"], df["centroid_0"], df["centroid_1"], np.broadcast_to(area, len(df))]).astype(float)
+        ids = np.array(list(self.load(self.config)(rows)), np.int32).reshape(-1, 2)
+        if len(ids) != len(df):
+            raise ValueError(f"the tracker gave {len(ids)} rows for {len(df)} objects")
+        return df.assign(trackid=ids[:, 0], parent_track_id=ids[:, 1])
+
+
 #: Trackers by version. v1, v2 and legacy are one tracker.
 TRACKERS = {"v1": GapTracker, "v2": GapTracker, "legacy": GapTracker, "v5": DivisionTracker}
 
 
-def make_tracker(backend: str = "hungarian", version: str = "v2", overrides: dict | None = None):
-    """A tracker by backend and version; ``overrides`` replace its parameters. Unknown ones raise."""
+def make_tracker(backend: str = "hungarian", version: str = "v2", overrides: dict | None = None, load: str | Callable | None = None):
+    """A tracker by backend and version; ``overrides`` replace its parameters. Unknown ones raise.
+
+    ``btrack`` is the Bayesian tracker: ``load``, a function or the ``module:name`` of one, adapts the
+    library that does it (see :class:`ExternalTracker`), and ``overrides`` is its configuration.
+    """
     if backend == "btrack":
-        raise NotImplementedError("the Bayesian tracker needs its own library; pass an object with track(df)")
+        if isinstance(load, str):
+            module, _, name = load.partition(":")
+            load = getattr(importlib.import_module(module), name)
+        if load is None:
+            raise ValueError("the Bayesian tracker needs a loader of its library")
+        return ExternalTracker(load, dict(overrides or {}))
     if backend != "hungarian" or version not in TRACKERS:
         raise ValueError(f"unknown tracker: {backend} {version}")
     kind = TRACKERS[version]

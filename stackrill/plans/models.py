@@ -36,20 +36,76 @@ class Identity:
         return img
 
 
-def predict_planes(planes: DataFrame, load: Callable[[], PlanePredictor]) -> DataFrame:
-    """Each plane under a model that every task loads once."""
+def predict_planes(planes: DataFrame, load: Callable[[], PlanePredictor], window: int | None = None, overlap: float = 0.25, normalise: bool = False) -> DataFrame:
+    """Each plane under a model that every task loads and checks once.
+
+    With a ``window``, larger planes go through it in overlapping windows. With ``normalise`` the model
+    sees planes from 0 to 1, and what it returns is scaled back.
+    """
     held: list[PlanePredictor] = []
 
     def f(img: np.ndarray) -> np.ndarray:
         if not held:
-            held.append(load())
-        return held[0].predict(img)
+            held.append(checked(load()))
+        img = np.asarray(img, np.float32)
+        low, span = (float(img.min()), float(np.ptp(img)) or 1.0) if normalise else (0.0, 1.0)
+        unit = (img - low) / span
+        out = predict_windows(unit, held[0].predict, window, overlap) if window and max(img.shape) > window else held[0].predict(unit)
+        return np.asarray(out) * span + low
 
     return map_planes(planes, f, "float32")
 
 
-def detect_tiles(tiles: DataFrame, load: Callable[[], Detector], tile: int) -> DataFrame:
-    """Detections of each tile, boxes moved to the image and held within the tile's valid part."""
+def blend_weights(window: int) -> np.ndarray:
+    """Gaussian weights of a window, highest in its middle."""
+    at = (np.arange(window) - (window - 1) / 2) / (window / 4)
+    line = np.exp(-0.5 * at * at)
+    return np.maximum(np.outer(line, line), 1e-6)
+
+
+def predict_windows(img: np.ndarray, predict: Callable[[np.ndarray], np.ndarray], window: int = 256, overlap: float = 0.25) -> np.ndarray:
+    """A plane larger than a model's window: overlapping windows of the mirrored plane, blended by weight."""
+    step = max(1, int(window * (1 - overlap)))
+    sides = [(max(0, window - n) if n <= window else -(n - window) % step) for n in img.shape]
+    wide = img
+    for axis, more in enumerate(sides):  # a border wider than the plane is mirrored more than once
+        while more:
+            part = min(more, max(1, wide.shape[axis] - 1))
+            wide = np.pad(wide, [(0, part if a == axis else 0) for a in (0, 1)], mode="reflect" if wide.shape[axis] > 1 else "edge")
+            more -= part
+    weights, total, sum_ = blend_weights(window), np.zeros(wide.shape), np.zeros(wide.shape)
+    for y in range(0, wide.shape[0] - window + 1, step):
+        for x in range(0, wide.shape[1] - window + 1, step):
+            at = np.s_[y : y + window, x : x + window]
+            sum_[at] += predict(wide[at]) * weights
+            total[at] += weights
+    return (sum_ / total)[: img.shape[0], : img.shape[1]].astype(np.float32)
+
+
+def checked(model: PlanePredictor, size: int = 32) -> PlanePredictor:
+    """``model``, if it maps a small plane to a finite one of the same size; else ValueError."""
+    img = np.linspace(0, 1, size * size, dtype=np.float32).reshape(size, size)
+    try:
+        out = np.asarray(model.predict(img))
+    except Exception as e:
+        raise ValueError(f"the model fails on a {size}x{size} plane: {e}") from e
+    if out.shape != img.shape or not np.isfinite(out).all():
+        raise ValueError(f"the model maps {img.shape} to {out.shape}, or to values that are not finite")
+    return model
+
+
+def to_rgb(img: np.ndarray, low: float = 1.0, high: float = 99.0) -> np.ndarray:
+    """A grey plane between two percentiles as three equal channels from 0 to 1 (height, width, 3)."""
+    lo, hi = np.percentile(img, (low, high))
+    unit = np.clip((img - lo) / max(hi - lo, 1e-12), 0, 1).astype(np.float32)
+    return np.repeat(unit[:, :, None], 3, axis=2)
+
+
+def detect_tiles(tiles: DataFrame, load: Callable[[], Detector], tile: int, batch: int = 128, buffer: int = 8) -> DataFrame:
+    """Detections of each tile, boxes moved to the image and held within the tile's valid part.
+
+    A model with ``detect_many`` gets up to ``batch`` tiles at a time, of ``buffer`` frames at most.
+    """
     out = "movie string, frame int, height int, width int, class_id int, score double, x1 double, y1 double, x2 double, y2 double, off_y int, off_x int, mask_h int, mask_w int, mask binary"
     names = [x.split()[0] for x in out.split(", ")]
 
@@ -57,9 +113,15 @@ def detect_tiles(tiles: DataFrame, load: Callable[[], Detector], tile: int) -> D
         model = load()
         for df in batches:
             rows = []
-            for r in df.itertuples():
-                img = np.frombuffer(r.pixels, np.float32).reshape(tile, tile)
-                for class_id, score, x1, y1, x2, y2, mask in model.detect(img):
+            images = [np.frombuffer(p, np.float32).reshape(tile, tile) for p in df["pixels"]]
+            if hasattr(model, "detect_many"):
+                frame = (df[["movie", "frame"]] != df[["movie", "frame"]].shift()).any(axis=1).cumsum().to_numpy() - 1
+                part = frame // buffer
+                found = [d for own in np.split(np.arange(len(df)), np.flatnonzero(np.diff(part)) + 1) for k in range(0, len(own), batch) for d in model.detect_many([images[i] for i in own[k : k + batch]])]
+            else:
+                found = map(model.detect, images)
+            for r, detections in zip(df.itertuples(), found):
+                for class_id, score, x1, y1, x2, y2, mask in detections:
                     x2, y2 = min(x2, r.valid_w), min(y2, r.valid_h)
                     mask = np.ascontiguousarray(mask[: r.valid_h, : r.valid_w], np.float32)
                     rows.append((r.movie, r.frame, r.height, r.width, class_id, score, r.off_x + x1, r.off_y + y1, r.off_x + x2, r.off_y + y2, r.off_y, r.off_x, *mask.shape, mask.tobytes()))

@@ -44,6 +44,8 @@ class Settings:
     shape: tuple[int, int] | None = None
     tile: int = 256
     times: DataFrame | None = None  # movie, frame, date_time, timestep, abslag_in_s
+    extra: dict[str, Callable[[np.ndarray, np.ndarray], float]] = field(default_factory=dict)  # measures of one's own
+    window: int | None = None  # of the plane models; larger planes go through it in overlapping windows
 
 
 @dataclass
@@ -63,7 +65,7 @@ def preprocess(stack: DataFrame, s: Settings, time_lapse: bool = True) -> DataFr
     reference = planes.clear_background(planes.fix_well(reference), 20.0, "um", "divide", s.pixel_size)
     others = planes.flat_field(others) if s.background == "flat_field" else planes.clear_background(others, 20.0, "um", "subtract", s.pixel_size)
     if s.focus:
-        reference = models.predict_planes(reference, s.focus)
+        reference = models.predict_planes(reference, s.focus, s.window)
     return reference.unionByName(others)
 
 
@@ -89,9 +91,9 @@ def finish(rows: DataFrame, s: Settings, time_lapse: bool = True) -> Result:
 def _connected(stack: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """Labels by threshold and components, classes by a model over crops; joined by key."""
     reference = stack.where(F.col("channel") == s.reference_channel)
-    proba = models.predict_planes(reference, s.segment) if s.segment else planes.scale(reference)
+    proba = models.predict_planes(reference, s.segment, s.window) if s.segment else planes.scale(reference)
     labels = planes.label_planes(proba, s.threshold, s.least_pixels)
-    rows = planes.measure_planes(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel)
+    rows = planes.measure_planes(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel, extra=s.extra)
     if s.classify:
         found = models.classify_crops(planes.roi_crops(reference, labels, 64), s.classify, 64)
         found = found.select("movie", "frame", "label", class_name(F.col("class_id"), s.classes).alias("object_class"), F.col("score").alias("detection_score"))
@@ -106,7 +108,7 @@ def _segmented(stack: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     reference = stack.where(F.col("channel") == s.reference_channel)
     merged = detect.merge_frames(models.detect_tiles(planes.tiles(reference, s.tile), s.detector, s.tile))
     labels, found = merged.drop("objects"), merged.selectExpr("movie", "frame", "inline(objects)")
-    rows = planes.measure_planes(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel)
+    rows = planes.measure_planes(stack, labels, s.reference_channel if s.state_channel is None else s.state_channel, extra=s.extra)
     classes = found.select("movie", "frame", "label", class_name(F.col("class_id"), s.classes).alias("object_class"), F.col("score").alias("detection_score"))
     return labels, relational.join_classes(rows, classes)
 
@@ -181,6 +183,14 @@ PIPELINES: dict[str, tuple[Callable[[DataFrame, Settings], Result], tuple[str, .
 }
 
 
+def run_report(result: Result) -> DataFrame:
+    """(movie, frames, objects, tracks): what a run found in each movie, for its log."""
+    rows = result.objects
+    found = [F.countDistinct("frame").alias("frames"), F.count(F.lit(1)).alias("objects")]
+    tracks_ = F.countDistinct(F.when(F.col("trackid") >= 0, F.col("trackid"))) if "trackid" in rows.columns else F.lit(0).cast("long")
+    return rows.groupBy("movie").agg(*found, tracks_.alias("tracks"))
+
+
 def get_pipeline(name: str) -> tuple[Callable[[DataFrame, Settings], Result], tuple[str, ...]]:
     """A pipeline by name in any case; unknown names raise with the known ones."""
     for known, value in PIPELINES.items():

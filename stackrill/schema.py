@@ -18,9 +18,9 @@ PIXEL = T.StructType([T.StructField(n, t) for n, t in (("movie", T.StringType())
 DETECTION = T.StructType(
     [T.StructField(n, t) for n, t in (("movie", T.StringType()), ("frame", T.IntegerType()), ("class_id", T.IntegerType()), ("score", T.DoubleType()), ("x1", T.DoubleType()), ("y1", T.DoubleType()), ("x2", T.DoubleType()), ("y2", T.DoubleType()))]
 )
-#: Leading columns of a measurement table.
+#: Leading columns of a measurement table. Fixed values.
 LEADING = ("label", "frame", "slice", "channel")
-#: Keys of the per-frame summary.
+#: Keys of the per-frame summary. Fixed values.
 SUMMARY_KEYS = ("file", "frame", "channel", "date_time", "timestep", "abslag_in_s", "object_class")
 
 

@@ -363,3 +363,188 @@ def test_stream_tracks(spark, tmp_path):
     q.awaitTermination()
     got = spark.sql("SELECT * FROM tracked").toPandas()
     assert len(got) == 15 and (got.groupby("label").trackid.nunique() == 1).all()
+
+
+def _tiff(img, compression=1, tile=None, predictor=1, big=False, order="<", description=None, resolution=None, unit=None):
+    """A file of one page, by a writer of its own."""
+    import struct
+    import zlib
+
+    pack = {1: bytes, 8: zlib.compress, 5: _lzw}[compression]
+    h, w = img.shape
+    blocks = [(y, x) for y in range(0, h, tile or 5) for x in range(0, w, tile or w)]
+    out = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "HHHQ" if big else order + "HI", *((43, 8, 0, 0) if big else (42, 0))))
+    places, sizes = [], []
+    for y, x in blocks:
+        part = img[y : y + (tile or 5), x : x + (tile or w)]
+        if tile:
+            part = np.pad(part, ((0, tile - part.shape[0]), (0, tile - part.shape[1])))
+        if predictor == 2:
+            part = np.diff(part, axis=1, prepend=part[:, :1] * 0)
+        raw = pack(part.astype(img.dtype.newbyteorder(order)).tobytes())
+        places.append(len(out))
+        sizes.append(len(raw))
+        out += raw
+    kind = {"u": 1, "i": 2, "f": 3}[img.dtype.kind]
+    tags = [(256, 4, [w]), (257, 4, [h]), (258, 3, [8 * img.dtype.itemsize]), (259, 3, [compression]), (277, 3, [1]), (317, 3, [predictor]), (339, 3, [kind])]
+    tags += [(322, 4, [tile]), (323, 4, [tile]), (324, 4, places), (325, 4, sizes)] if tile else [(273, 4, places), (278, 4, [5]), (279, 4, sizes)]
+    if description:
+        tags.append((270, 2, description.encode() + b"\0"))
+    if resolution:
+        tags += [(282, 5, list(resolution)), (296, 3, [unit or 1])]
+    word, inline = ("Q", 8) if big else ("I", 4)
+    entries = b""
+    for tag, kind, values in sorted(tags):
+        raw = values if isinstance(values, bytes) else struct.pack(order + {3: "H", 4: "I", 5: "I"}[kind] * len(values), *values)
+        count = len(values) // 2 if kind == 5 else len(values)
+        if len(raw) > inline:
+            at = len(out)
+            out += raw
+            raw = struct.pack(order + word, at)
+        entries += struct.pack(order + "HH" + word, tag, kind, count) + raw.ljust(inline, b"\0")
+    struct.pack_into(order + word, out, 8 if big else 4, len(out))
+    return bytes(out) + struct.pack(order + ("Q" if big else "H"), len(tags)) + entries + struct.pack(order + word, 0)
+
+
+def _lzw(data):
+    """Codes of the longest known beginnings, most significant bit first."""
+    bits, table, word = [], {bytes([i]): i for i in range(256)}, b""
+    put = lambda code, width: bits.extend(code >> b & 1 for b in range(width - 1, -1, -1))
+    size = lambda n: 12 if n >= 2048 else 11 if n >= 1024 else 10 if n >= 512 else 9
+    put(256, 9)
+    n = 258
+    for byte in data:
+        if word + bytes([byte]) in table:
+            word += bytes([byte])
+            continue
+        put(table[word], size(n))
+        table[word + bytes([byte])] = n
+        n += 1
+        word = bytes([byte])
+        if n == 4094:
+            put(table[word], 12)
+            put(256, 12)
+            table, word, n = {bytes([i]): i for i in range(256)}, b"", 258
+    if word:
+        put(table[word], size(n))
+        n += 1
+    put(257, size(n))
+    bits += [0] * (-len(bits) % 8)
+    return bytes(int("".join(map(str, bits[i : i + 8])), 2) for i in range(0, len(bits), 8))
+
+
+@pytest.mark.parametrize("options", [{}, {"compression": 8}, {"compression": 5}, {"tile": 16}, {"tile": 16, "compression": 8, "predictor": 2}, {"big": True}, {"order": ">"}, {"compression": 5, "tile": 32, "big": True}])
+def test_tiff_layouts(options):
+    rng = np.random.default_rng(3)
+    for img in (rng.integers(0, 60000, (37, 53)).astype(np.uint16), np.tile(np.arange(50, dtype=np.uint8), (90, 2))):
+        (got,), size = tiff.read_pages(_tiff(img, **options))
+        assert got.dtype == img.dtype and (got == img).all() and size == tiff.PIXEL_SIZE
+    noise = rng.normal(size=(20, 30)).astype(np.float32)
+    assert (tiff.read_pages(_tiff(noise, **(options | {"predictor": 1})))[0][0] == noise).all()
+
+
+def test_tiff_metadata():
+    img = np.zeros((6, 6), np.uint8)
+    assert tiff.read_pages(_tiff(img, resolution=(20000, 1), unit=3))[1] == 0.5
+    assert tiff.read_pages(_tiff(img, resolution=(4, 1), description="ImageJ=1.5\nunit=micron\n"))[1] == 0.25
+    assert tiff.read_pages(_tiff(img, description='<OME><Pixels PhysicalSizeX="0.11"/></OME>'))[1] == 0.11
+    assert tiff.read_pages(_tiff(img), tiff.FOCUS_PIXEL_SIZE)[1] == 0.65
+    assert tiff._axes(b"ImageJ=1.5\nchannels=2\nframes=3\n", 6) == (2, 1, "CZT") and tiff._axes(b"ImageJ=1.5\nframes=4\n", 6) is None
+    assert tiff._axes(b'<OME><Pixels DimensionOrder="XYZTC" SizeC="2" SizeZ="1" SizeT="3"/></OME>', 6) == (2, 1, "ZTC")
+    with pytest.raises(ValueError):
+        tiff.read_pages(b"II" + bytes(20))
+
+
+def test_saved_tiffs_and_decoders(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    stacks = {m: rng.integers(0, 900, (4, 2, 9, 7)).astype(np.uint16) for m in ("a", "b")}
+    rows = [tiff.planes_from_array(spark, m, s, "TCYX") for m, s in stacks.items()]
+    done = tiff.save_tiffs(rows[0].unionByName(rows[1]).repartition(5), f"{tmp_path}/out", "_labels.tiff").collect()
+    assert sorted((r.movie, r.pages) for r in done) == [("a", 8), ("b", 8)]
+    back = tiff.read_planes(spark, f"{tmp_path}/out", channels=2).toPandas()
+    for m, s in stacks.items():
+        own = back[back.movie == f"{m}_labels"]
+        assert len(own) == 8 and all((np.frombuffer(r.pixels, r.dtype).reshape(9, 7) == s[r.frame, r.channel]).all() for r in own.itertuples())
+    (tmp_path / "x.nd2").write_bytes(b"\1\2\3\4")
+    tiff.DECODERS[".nd2"] = lambda data: ([((0, 0, 0), np.frombuffer(data, np.uint8).reshape(2, 2))], 0.3)
+    try:
+        one = tiff.read_planes(spark, str(tmp_path), glob="*.nd2").collect()
+    finally:
+        del tiff.DECODERS[".nd2"]
+    assert [(r.movie, r.pixel_size, r.error) for r in one] == [("x", 0.3, None)]
+
+
+def test_user_measures(spark):
+    rng = np.random.default_rng(2)
+    img, mask = rng.random((1, 20, 20)).astype(np.float32), np.zeros((1, 20, 20), np.int32)
+    mask[0, 2:6, 3:9], mask[0, 10:12, 1:4] = 1, 2
+    stack, labels = tiff.planes_from_array(spark, "m", img, "TYX"), tiff.planes_from_array(spark, "m", mask, "TYX")
+    rows = planes.measure_planes(stack, labels, 0, extra={"top": lambda m, v: v[m].max(), "pixels": lambda m, v: m.sum()}).toPandas()
+    assert rows.pixels.tolist() == [24, 6] and np.allclose(rows.top, rows.max_intensity)
+
+
+def test_windows_models_and_trackers(spark):
+    rng = np.random.default_rng(8)
+    for shape in ((30, 30), (70, 45), (10, 90), (3, 3)):
+        img = rng.random(shape).astype(np.float32)
+        assert np.allclose(models.predict_windows(img, lambda p: 2 * p, 32, 0.5), 2 * img, atol=1e-5)
+    for bad in (lambda p: p[:3], lambda p: p * np.nan, lambda p: 1 / 0):
+        with pytest.raises(ValueError):
+            models.checked(type("M", (), {"predict": staticmethod(bad)})())
+    img = rng.random((2, 40, 50)).astype(np.float32)
+    stack = tiff.planes_from_array(spark, "m", img, "TYX")
+    twice = type("Twice", (), {"predict": lambda self, p: p})
+    got = models.predict_planes(stack, twice, 16, normalise=True).orderBy("frame").toPandas()
+    assert all(np.allclose(np.frombuffer(p, np.float32).reshape(40, 50), i, atol=1e-5) for p, i in zip(got["pixels"], img))
+    assert models.to_rgb(img[0]).shape == (40, 50, 3)
+
+    class Many:
+        def detect_many(self, tiles):
+            assert len(tiles) <= 3
+            return [[(0, 0.9, 1.0, 1.0, 4.0, 4.0, np.ones((16, 16), np.float32))] for _ in tiles]
+
+    found = models.detect_tiles(planes.tiles(stack, 16), Many, 16, batch=3, buffer=1)
+    assert found.count() == planes.tiles(stack, 16).count()
+    with pytest.raises(ValueError):
+        tracks.make_tracker("btrack", overrides={"motion_model": {}}, load=lambda c: None)
+    with pytest.raises(ValueError):
+        tracks.make_tracker("btrack")
+    stub = tracks.make_tracker("btrack", overrides={"motion_model": {}, "hypothesis_model": {}}, load=lambda c: lambda rows: [(i % 2, -1) for i in range(len(rows))])
+    objects = spark.createDataFrame([("m", f, n, float(n), 0.0, 5.0) for f in range(3) for n in (1, 2)], "movie string, frame int, label int, centroid_0 double, centroid_1 double, area double")
+    assert {(r.label, r.trackid) for r in tracks.track_objects(objects, stub).collect()} == {(1, 0), (2, 1)}
+
+
+def test_alignment_to_the_frame_before(spark):
+    rng = np.random.default_rng(6)
+    base = rng.random((32, 32))
+    stack = np.stack([np.roll(base, (2 * f, -f), (0, 1)) for f in range(4)]).astype(np.float32)
+    for reference in ("first", "previous"):
+        got = planes.align_shifts(tiff.planes_from_array(spark, "m", stack, "TYX"), reference=reference).orderBy("frame").collect()
+        assert [(r.dy, r.dx) for r in got] == [(-2 * f, f) for f in range(4)]
+
+
+def test_flat_field_is_the_blurred_mean(spark):
+    rng = np.random.default_rng(7)
+    stack = rng.random((6, 2, 12, 12)).astype(np.float32) + 1
+    got = planes.flat_field(tiff.planes_from_array(spark, "m", stack, "TCYX").repartition(4), 5).toPandas()
+    assert len(got) == 12
+    for r in got.itertuples():
+        field = k.gaussian_blur(stack[:, r.channel].astype(float).mean(axis=0), 5)
+        assert np.allclose(np.frombuffer(r.pixels, np.float32).reshape(12, 12), stack[r.frame, r.channel] / (field / field.mean()), rtol=1e-4)
+
+
+def test_assignment_and_shapes_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    for _ in range(10):  # two frames: the tracker's links have the least sum of distances within the bound
+        a, b = rng.random((4, 2)) * 40, rng.random((4, 2)) * 40
+        rows = pd.DataFrame([(0, i + 1, *p) for i, p in enumerate(a)] + [(1, i + 1, *p) for i, p in enumerate(b)], columns=["frame", "label", "centroid_0", "centroid_1"]).assign(movie="m", area=1.0)
+        got = tracks.GapTracker(1e6, 1).track(rows)
+        ids = got["trackid"].to_numpy()
+        d = np.hypot(*(a[:, None] - b[None]).transpose(2, 0, 1))
+        best = min(itertools.permutations(range(4)), key=lambda p: sum(d[i, p[i]] for i in range(4)))
+        assert [int(np.flatnonzero(ids[4:] == ids[i])[0]) for i in range(4)] == list(best)
+    parts = np.zeros((1, 40, 40), np.int32)
+    parts[0, 2:12, 2:7], parts[0, 20:30, 20:30] = 1, 2
+    parts[0, 24:30, 24:30] = 0
+    rows = planes.shape_measures(tiff.planes_from_array(spark, "m", parts, "TYX")).toPandas().set_index("label")
+    assert rows.loc[1, "solidity"] == 1.0 and 0.6 < rows.loc[2, "solidity"] < 0.9
