@@ -5,21 +5,24 @@ times. A copy's virtual finish time is the number of source words up to and with
 source's target; all queues are merged by that time, in fixed ranges of it, and the merged order is
 cut at the total budget.
 
-Prefix sums run in two levels over fixed hash ranges, so a source with a third of all rows is
-spread over as many tasks as its size asks for, and a lost task is recomputed to the same rows.
+Prefix sums run level by level over fixed hash ranges, so a source with a third of all rows is
+spread over as many tasks as its size asks for, no window grows with the data, and a lost task is
+recomputed to the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import Scratch, located, small, spread_join, stored
 
 #: Rows in a range of a prefix sum, about.
 RANGE_ROWS = 4096
+#: Bits of a place in a hash range or of a finish time that one window sums up.
+LEVEL = 10
 _BITS = 60
 
 
@@ -28,24 +31,53 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
-    """``sizes`` (key, source_size), one row per source, with ``target``.
+def sums_before(parts: DataFrame, by: list[str], at: str, value: str, bits: int, temp: Scratch) -> DataFrame:
+    """``parts`` (by, at, value), a stored table with one row per ``at`` of ``bits`` bits -> (by, at, base).
+
+    ``base`` sums ``value`` over all smaller ``at``, level by level: no window has more than
+    2 ** :data:`LEVEL` rows, however many parts there are.
+    """
+    coarse = [*by, "coarse"]
+    split = parts.withColumn("coarse", F.shiftright(at, LEVEL))
+    window = Window.partitionBy(*coarse).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    inside = split.withColumn("inside", F.coalesce(F.sum(value).over(window), F.lit(0)))
+    if bits <= LEVEL:
+        return temp.stored(inside.select(*by, at, F.col("inside").alias("base")), "mix-base")
+    above = temp.stored(split.groupBy(*coarse).agg(F.sum(value).alias(value)), "mix-level")
+    above = sums_before(above, by, "coarse", value, bits - LEVEL, temp)
+    return temp.stored(inside.join(small(above, 96), coarse).select(*by, at, (F.col("base") + F.col("inside")).alias("base")), "mix-base")
+
+
+def numbered(rows: DataFrame, key: str, temp: Scratch) -> DataFrame:
+    """``rows`` with ``number``, from 0 in the order of ``key``: sorted by ranges, each counted on its own."""
+    parts = temp.stored(rows.repartitionByRange(key).withColumn("part", F.spark_partition_id()), "mix-parts")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", before.alias("base"))  # a row per partition
+    own = F.row_number().over(Window.partitionBy("part").orderBy(key)) - 1
+    return parts.withColumn("own", own).join(F.broadcast(bases), "part").withColumn("number", F.col("base") + F.col("own")).drop("part", "own", "base")
+
+
+def source_targets(sizes: DataFrame, weights: Sequence[int], cap: int, temp: Scratch) -> DataFrame:
+    """``sizes`` (key, source_size, n), one row per source, with ``total`` and ``target``.
 
     Sources in key order get ``weights`` in turn and share the sum of all sizes; a target stops at
-    ``cap`` times its source, and what is over is shared by weight until none is above. That fixed
-    point is found in one pass: in ascending order of cap over weight, a source is capped if the
-    share left by those before it reaches its cap.
+    ``cap`` times its source, and what is over is shared by weight until none is above. Each turn of
+    the loop caps what the share left by the capped sources takes to its cap; only sums reach the driver.
     """
-    every, size, cap_words = Window.partitionBy(), F.col("source_size"), cap * F.col("source_size")
-    turn = (F.row_number().over(Window.orderBy("key")) - 1) % len(weights)
-    order = Window.orderBy("ratio", "key")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    s = sizes.withColumn("weight", F.element_at(F.array(*(F.lit(w) for w in weights)), (turn + 1).cast("int")))
-    s = s.withColumn("total", F.sum(size).over(every)).withColumn("weights", F.sum("weight").over(every)).withColumn("ratio", cap_words / F.col("weight"))
-    s = s.withColumn("cap_before", F.coalesce(F.sum(cap_words).over(before), F.lit(0))).withColumn("w_before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    s = s.withColumn("capped", (F.col("total") - F.col("cap_before")) / (F.col("weights") - F.col("w_before")) >= F.col("ratio"))
-    s = s.withColumn("left", F.col("total") - F.sum(F.when(F.col("capped"), cap_words).otherwise(0)).over(every)).withColumn("w_left", F.sum(F.when(F.col("capped"), 0).otherwise(F.col("weight"))).over(every))
-    return s.select("key", "source_size", "total", F.when(F.col("capped"), cap_words.cast("double")).otherwise(F.col("left") / F.col("w_left") * F.col("weight")).alias("target"))
+    turn = (F.col("number") % len(weights) + 1).cast("int")
+    s = numbered(sizes, "key", temp).withColumn("weight", F.element_at(F.array(*(F.lit(w) for w in weights)), turn))
+    s = temp.stored(s.withColumn("cap_words", F.lit(cap) * F.col("source_size")), "mix-sources")
+    zero = F.lit(0).cast("long")
+    total, every = s.agg(F.coalesce(F.sum("source_size"), zero), F.coalesce(F.sum("weight").cast("long"), zero)).head()
+    taken, gone = 0, 0
+    while True:
+        share = F.lit(total - taken) / F.lit(every - gone) if every > gone else F.lit(0.0)
+        capped = share >= F.col("cap_words") / F.col("weight")
+        now = s.where(capped).agg(F.coalesce(F.sum("cap_words"), zero), F.coalesce(F.sum("weight").cast("long"), zero)).head()
+        if tuple(now) == (taken, gone) or every == gone:
+            break
+        taken, gone = now
+    return s.select("key", "source_size", "n", F.lit(total).cast("long").alias("total"), F.when(capped, F.col("cap_words").cast("double")).otherwise(share * F.col("weight")).alias("target"))
 
 
 def range_bits(rows: int) -> int:
@@ -53,58 +85,85 @@ def range_bits(rows: int) -> int:
     return max(0, min(_BITS, (max(1, rows) // RANGE_ROWS).bit_length()))
 
 
+def _finish(epoch: Column) -> Column:
+    return (epoch * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
+
+
+#: Columns that order copies: virtual finish time, then what makes them distinct.
+_ORDER = ("finish", "key", "h", "id", "size", "at", "epoch")
+
+
+def _range_of_budget(ranges: DataFrame, total: int) -> tuple[int, int] | None:
+    """(range, words before it) of the range in which the sum of words goes over ``total``, found level
+    by level in windows of 2 ** :data:`LEVEL` rows; None if it never does. ``ranges`` is stored."""
+    top = ranges.agg(F.max("range")).head()[0]
+    if top is None:
+        return None
+    start, shift = 0, LEVEL * (max(0, top.bit_length() - 1) // LEVEL)
+    while True:
+        level = ranges.groupBy(F.shiftright("range", shift).alias("r")).agg(F.sum("words").alias("words"))
+        upto = F.sum("words").over(Window.orderBy("r")) + F.lit(start)
+        hit = level.withColumn("upto", upto).where(F.col("upto") > total).orderBy("r").select("r", F.col("upto") - F.col("words")).head()
+        if hit is None:
+            return None
+        at, start = hit
+        if not shift:
+            return at, start
+        ranges, shift = ranges.where(F.shiftright("range", shift) == at), shift - LEVEL
+
+
+def queued_copies(docs: DataFrame, weights: Sequence[int], cap: int) -> tuple[DataFrame, Callable[[int], Column]]:
+    """Rows (id, source, key, h, at, size, source_size, target, upto), a stored table, and whether the
+    mix takes a row's copy number ``e``. ``docs`` has id, source, size and the locator ``_sr_at``."""
+    spark = docs.sparkSession
+    key = F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), F.col("source")))
+    h = F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), 1, _BITS // 4), 16, 10).cast("long")
+    with Scratch(spark) as temp:
+        rows = temp.stored(docs.select("id", "source", "size", F.col("_sr_at").alias("at"), key.alias("key"), h.alias("h")), "mix-rows")
+        n = rows.count()
+        sizes = rows.groupBy("key").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+        targets = temp.stored(source_targets(sizes, weights, cap, temp), "mix-targets")
+        # Words of the source up to and with each document, in the shuffled order.
+        bits = range_bits(n)
+        rows = rows.withColumn("bucket", F.shiftright("h", _BITS - bits))
+        parts = temp.stored(rows.groupBy("key", "bucket").agg(F.sum("size").alias("words")), "mix-words")
+        bases = sums_before(parts, ["key"], "bucket", "words", bits, temp)
+        inside = F.sum("size").over(Window.partitionBy("key", "bucket").orderBy("h", "id", "size", "at").rowsBetween(Window.unboundedPreceding, 0))
+        queued = rows.withColumn("inside", inside).join(small(bases, 64), ["key", "bucket"]).withColumn("upto", F.col("base") + F.col("inside"))
+        queued = spread_join(queued, targets, ["key"], "n", 128, "left")
+        queued = stored(queued.select("id", "source", "key", "h", "at", "size", "source_size", "target", "total", "upto"), "mix-queued")
+        # All copies by virtual finish time, in fixed ranges of it; the one where the budget ends is sorted.
+        epoch = F.explode(F.sequence(F.lit(0), F.lit(cap - 1)))
+        copies = queued.where("size > 0").select("*", epoch.alias("epoch")).withColumn("finish", _finish(F.col("epoch")))
+        width = float(1 << range_bits(cap * n))
+        copies = copies.withColumn("range", F.floor(F.col("finish") * width))
+        ranges = temp.stored(copies.groupBy("range").agg(F.sum("size").alias("words")), "mix-ranges")
+        first = queued.select("total").head()
+        total = first[0] if first else 0
+        over = _range_of_budget(ranges, total)
+        cut = None
+        if over:  # the last copy that still fits
+            at, start = over
+            upto = F.sum("size").over(Window.orderBy(*_ORDER)) + F.lit(start)
+            cut = copies.where(F.col("range") == at).withColumn("upto_all", upto).where(F.col("upto_all") <= total).orderBy(*(F.col(c).desc() for c in _ORDER)).select(*_ORDER).head()
+    if not over:
+        return queued, lambda e: F.lit(True)
+    if cut is None:
+        return queued, lambda e: F.floor(_finish(F.lit(e)) * width) < F.lit(at)
+    last = F.struct(*(F.lit(v).cast(copies.schema[c].dataType).alias(c) if c != "at" else F.struct(F.lit(v[0]).alias("file"), F.lit(v[1]).alias("row")).alias("at") for c, v in zip(_ORDER, cut)))
+    return queued, lambda e: F.struct(_finish(F.lit(e)).alias("finish"), "key", "h", "id", "size", "at", F.lit(e).alias("epoch")) <= last
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, source, size, source_size, target, copies, taken.
 
     Sources are ordered by code point, null last, as a source of its own. Null and empty texts have
     size 0 and are never taken (``copies`` 0). Ids order ties; rows that agree in id, source and
-    size are interchangeable. Other columns are not read. An empty table gives an empty one, and a
+    size go by file and row. Other columns are not read. An empty table gives an empty one, and a
     table without words gives targets of 0.
     """
-    spark = docs.sparkSession
-    key = F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), F.col("source")))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), 1, _BITS // 4), 16, 10).cast("long")
-    rows = stored(rows.select("*", key.alias("key"), h.alias("h"), F.monotonically_increasing_id().alias("rid")), "mix-rows")
-    n = rows.count()
-    targets = stored(source_targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
-    n_sources = targets.count()
-
-    def known(df: DataFrame, by: list[str], table: DataFrame, row_bytes: int, count: int) -> DataFrame:
-        return df.join(F.broadcast(table) if count * row_bytes <= 8 << 20 else table, by, "left")
-
-    # Words of the source up to and with each document, in the shuffled order.
-    bucket = F.shiftright("h", _BITS - range_bits(n))
-    rows = rows.withColumn("bucket", bucket)
-    parts = rows.groupBy("key", "bucket").agg(F.sum("size").alias("words"))
-    base = F.coalesce(F.sum("words").over(Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = stored(parts.select("key", "bucket", base.alias("base")), "mix-offsets")
-    inside = F.sum("size").over(Window.partitionBy("key", "bucket").orderBy("h", "id", "size", "rid").rowsBetween(Window.unboundedPreceding, 0))
-    queued = rows.withColumn("inside", inside).join(small(parts, 64), ["key", "bucket"]).withColumn("upto", F.col("base") + F.col("inside"))
-    queued = stored(known(queued, ["key"], targets, 128, n_sources).select("rid", "id", "source", "key", "h", "size", "source_size", "target", "total", "upto"), "mix-queued")
-
-    # All copies by virtual finish time, in fixed ranges of it; the one where the budget ends is sorted.
-    epoch = F.explode(F.sequence(F.lit(0), F.lit(cap - 1)))
-    finish = (F.col("epoch") * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")
-    copies = queued.where("size > 0").select("*", epoch.alias("epoch")).withColumn("finish", finish)
-    width = float(1 << range_bits(cap * n))
-    copies = copies.withColumn("range", F.floor(F.col("finish") * width))
-    ranges = copies.groupBy("range").agg(F.sum("size").alias("words"), F.first("total").alias("total"))
-    upto = F.sum("words").over(Window.orderBy("range"))
-    over = ranges.withColumn("end", upto).where("end > total").orderBy("range").select("range", F.col("end") - F.col("words"), "total").head()
-    order = ["finish", "key", "h", "id", "size", "rid", "epoch"]
-    cut = None
-    if over:  # the last copy that still fits
-        at, start, total = over
-        inside = F.sum("size").over(Window.orderBy(*order)) + F.lit(start)
-        cut = copies.where(F.col("range") == at).withColumn("upto_all", inside).where(F.col("upto_all") <= total).orderBy(*(F.col(c).desc() for c in order)).select(*order).head()
-    if over and cut is None:
-        taken = lambda e: F.floor(((F.lit(e) * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")) * width) < F.lit(at)
-    elif cut is not None:
-        last = F.struct(*(F.lit(v).cast(copies.schema[c].dataType).alias(c) for c, v in zip(order, cut)))
-        taken = lambda e: F.struct(((F.lit(e) * F.col("source_size") + F.col("upto")).cast("double") / F.col("target")).alias("finish"), "key", "h", "id", "size", "rid", F.lit(e).alias("epoch")) <= last
-    else:
-        taken = lambda e: F.lit(True)
+    rows = located(docs, id=F.col(id_col), source=F.col(source_col).cast("string"), size=word_count(F.col(text_col)))
+    queued, taken = queued_copies(rows, weights, cap)
     n_taken = sum((F.when(taken(e), 1).otherwise(0) for e in range(cap)), F.lit(0))
     n_copies = F.when(F.col("size") > 0, n_taken).otherwise(0)
     return queued.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", n_copies.cast("int").alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
@@ -113,13 +172,20 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int =
 def take_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it was taken, with all their columns.
 
-    Rows that agree in id, source and size get the fewest copies that any of them was given.
+    Copies are range-sorted by virtual finish time and cut at the total budget, so partitions, and
+    the files written from them, follow the merged order. Null and empty texts are never taken;
+    see :func:`mix_sources` for null sources, ties and repeated rows.
     """
-    mix = mix_sources(docs, weights, cap, id_col, source_col, text_col)
-    names = {"_sr_id": id_col, "_sr_source": source_col, "_sr_size": "size"}
-    mix = stored(mix.groupBy(*(F.col(v).alias(k) for k, v in names.items())).agg(F.min("copies").alias("_sr_copies")).where("_sr_copies > 0"), "mix-copies")
-    same = F.col(id_col).eqNullSafe(F.col("_sr_id")) & F.col(source_col).cast("string").eqNullSafe(F.col("_sr_source")) & (word_count(F.col(text_col)) == F.col("_sr_size"))
-    return docs.join(small(mix, 96), same).select("*", F.explode(F.sequence(F.lit(1), F.col("_sr_copies"))).alias("_sr_copy")).select(*docs.columns)
+    docs = located(docs)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), "_sr_at")
+    queued, taken = queued_copies(rows, weights, cap)
+    epochs = F.filter(F.array(*(F.when(taken(e), F.lit(e)) for e in range(cap))), lambda e: e.isNotNull())
+    mix = queued.where("size > 0").select(F.col("at").alias("_sr_mixed"), "key", "h", F.explode(epochs).alias("epoch"), "source_size", "upto", "target")
+    mix = stored(mix.select("_sr_mixed", F.struct(_finish(F.col("epoch")).alias("finish"), "key", "h", F.col("epoch").alias("epoch")).alias("_sr_place")), "mix-copies")
+    found = docs.join(small(mix, 128), docs["_sr_at"] == F.col("_sr_mixed"))
+    order = ["_sr_place.finish", "_sr_place.key", "_sr_place.h", "_sr_at", "_sr_place.epoch"]
+    names = [c for c in docs.columns if c != "_sr_at"]
+    return found.repartitionByRange(*order).sortWithinPartitions(*order).select(*names)
 
 
 def op8_query(docs: DataFrame) -> DataFrame:
