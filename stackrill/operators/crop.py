@@ -109,16 +109,90 @@ def crop_to_target_line(planes: DataFrame, template: np.ndarray, height: int, wi
     return crop_planes(planes, t)
 
 
-def walls(profile: np.ndarray, centre: float, smooth: int = 31, reach: int = 80, prominence: float = 5.0) -> tuple[int | None, int | None]:
-    """Deepest dip before ``centre`` and the first one after it, of a row or column profile."""
-    found = k.dips(profile, smooth, reach, prominence)
-    before = [d for d in found if d[0] < centre]
-    after = [d for d in found if d[0] > centre]
-    return (max(before, key=lambda d: d[1])[0] if before else None, min(after)[0] if after else None)
-
-
-def crop_bounds(top: int | None, bottom: int | None, centre: float, height: int, above: float = -946.0, below: float = 754.0) -> tuple[int, int]:
-    """Rows between the walls; a missing wall is where the calibration expects it."""
-    y0 = top if top is not None else round(centre + above)
-    y1 = bottom if bottom is not None else round(centre + below)
-    return max(0, int(y0)), min(height, int(y1))
+@dataclass(frozen=True)
+class WallSearch:
+    """Where walls are looked for, from the blocks' centre, and how deep they are. Fixed values."""
+
+    above: tuple[int, int] = (600, 1200)
+    below: tuple[int, int] = (700, 1100)
+    beside: tuple[int, int] = (250, 1400)
+    smooth: int = 31
+    reach: int = 80
+    central: float = 0.6
+    depth: float = 0.10
+    side_depth: float = 0.40
+    inset: tuple[int, int, int] = (30, 20, 15)
+    block: int = 250
+    fixed: tuple[int, int] = (946, 754)
+
+
+def wall_dips(profile: np.ndarray, lo: int, hi: int, reach: int, least: float) -> list[tuple[int, float]]:
+    """(place, depth) of local minima in [lo, hi) that lie below the higher shoulder by ``least`` of the range."""
+    part = profile[lo:hi]
+    if len(part) < 10 or np.ptp(part) < 1e-6:
+        return []
+    inner = np.flatnonzero((part[1:-1] <= part[:-2]) & (part[1:-1] <= part[2:])) + 1
+    depth = np.array([part[max(0, i - reach) : i + reach + 1].max() - part[i] for i in inner])
+    return [(lo + int(i), float(d)) for i, d in zip(inner, depth) if d >= least * np.ptp(part)]
+
+
+def wall_box(img: np.ndarray, blocks: list[tuple[float, float]], search: WallSearch = WallSearch(), strongest: bool = False, sides: bool = False) -> tuple[int, int, int, int]:
+    """(y0, y1, x0, x1) between the walls of a levelled plane whose blocks are at (y, x).
+
+    The wall above is the deepest dip of the rows' medians, that below the first one, or the deepest if
+    ``strongest``. Without one of them the rows are at fixed distances from the blocks. With ``sides``
+    and both, the deepest dips of the columns' medians, blocks left out, are the walls beside.
+    """
+    height, width = img.shape
+    cy, cx = (round(float(np.median([b[i] for b in blocks]))) for i in (0, 1))
+    level = lambda line: np.convolve(line, np.ones(search.smooth) / search.smooth, mode="same")
+    edge = int(width * (1 - search.central) / 2)
+    rows = level(np.median(img[:, edge : width - edge].astype(float), axis=1))
+    top = wall_dips(rows, max(0, cy - search.above[1]), max(0, cy - search.above[0]), search.reach, search.depth)
+    low = wall_dips(rows, min(height, cy + search.below[0]), min(height, cy + search.below[1]), search.reach, search.depth)
+    deepest = lambda found: max(found, key=lambda d: d[1])[0]
+    if not top or not low:
+        return max(0, cy - search.fixed[0]), min(height, cy + search.fixed[1]), 0, width
+    y0, y1 = deepest(top) + search.inset[0], (deepest(low) if strongest else low[0][0]) - search.inset[1]
+    if not sides or y1 - y0 < 20:
+        return y0, y1, 0, width
+    band = img[y0:y1].astype(float)
+    hidden = np.zeros(band.shape, bool)
+    for y, x in blocks:
+        a, b = round(y) - y0, round(x)
+        hidden[max(0, a - search.block) : max(0, a + search.block), max(0, b - search.block) : max(0, b + search.block)] = True
+    line = np.ma.median(np.ma.array(band, mask=hidden), axis=0).filled(np.median(band))
+    columns, clear = level(line), lambda found: [d for d in found if all(abs(d[0] - x) >= search.block for _, x in blocks)]
+    left = clear(wall_dips(columns, max(0, cx - search.beside[1]), max(0, cx - search.beside[0]), search.reach, search.side_depth))
+    right = clear(wall_dips(columns, min(width, cx + search.beside[0]), min(width, cx + search.beside[1]), search.reach, search.side_depth))
+    return y0, y1, max(0, deepest(left) + search.inset[2]) if left else 0, min(width, deepest(right) - search.inset[2]) if right else width
+
+
+def crop_to_walls(planes: DataFrame, template: np.ndarray, height: int, width: int, channel: int = 0, search: WallSearch = WallSearch(), strongest: bool = False, sides: bool = False, least: float = 0.25) -> DataFrame:
+    """Level each movie by the blocks of its first frame and cut it to the walls seen there.
+
+    One box and tilt for all frames. A movie without any block raises :class:`NoBlockDetected`.
+    """
+    first = planes.where(F.col("channel") == channel).join(planes.groupBy("movie").agg(F.min("frame").alias("frame")), ["movie", "frame"])
+    blocks = detect_blocks(first, template, channel, least=least)
+    empty = first.select("movie").join(blocks.select("movie").distinct(), "movie", "left_anti").head()
+    if empty:
+        raise NoBlockDetected(empty[0])
+    t = frame_transforms(first.select("movie", "frame"), blocks, height, width).select("movie", "tilt", "cy")
+    at = blocks.groupBy("movie").agg(F.collect_list("y").alias("ys"), F.collect_list("x").alias("xs"))
+    out = "movie string, tilt double, cy double, dy int, dx int, y0 int, y1 int, x0 int, x1 int"
+
+    def run(batches):
+        for df in batches:
+            rows = []
+            for r in df.itertuples():
+                turn = k.rotation(r.tilt, (r.cy, r.width / 2))
+                img = decode(r).astype(float)
+                img = (img - img.min()) / max(np.ptp(img), 1e-12) * 255
+                turned = [(float(turn[1] @ (x, y, 1)), float(turn[0] @ (x, y, 1))) for y, x in zip(r.ys, r.xs)]
+                box = wall_box(k.warp(img, turn) if r.tilt else img, turned, search, strongest, sides)
+                rows.append((r.movie, r.tilt, r.cy, 0, 0, *map(int, box)))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in out.split(", ")])
+
+    boxes = first.join(t, "movie").join(at, "movie").mapInPandas(run, out)
+    return crop_planes(planes, planes.select("movie", "frame").distinct().join(boxes, "movie"))

@@ -416,3 +416,37 @@ def pad_to_tiles(img: np.ndarray, tile: int, overlap: float, fill: float | None
     out = np.full(size, fill, float)
     out[: img.shape[0], : img.shape[1]] = img
     return out
+
+
+def cosine_basis(n: int) -> np.ndarray:
+    """Orthonormal cosines of n samples, the constant first, as rows."""
+    rows = np.cos(np.pi * (np.arange(n) + 0.5) * np.arange(n)[:, None] / n) * math.sqrt(2 / n)
+    rows[0] /= math.sqrt(2)
+    return rows
+
+
+def low_rank_field(stack: np.ndarray, smooth: float = 0.1, rounds: int = 40) -> np.ndarray:
+    """A field of mean 1 that all planes (n, h, w) share, up to a factor each, beside what is sparse.
+
+    A rank-one fit of least absolute deviations: each round weighs pixels by the inverse of their
+    residual, fits the planes' factors and then the field, and shrinks the field's cosines but the mean.
+    """
+    n, h, w = stack.shape
+    rows, columns = cosine_basis(h), cosine_basis(w)
+    field, weight = np.ones((h, w)), np.ones(stack.shape)
+    for _ in range(rounds):
+        factor = (weight * stack * field).sum(axis=(1, 2)) / np.maximum((weight * field * field).sum(axis=(1, 2)), 1e-12)
+        scaled = factor[:, None, None]
+        rough = (weight * stack * scaled).sum(axis=0) / np.maximum((weight * scaled * scaled).sum(axis=0), 1e-12)
+        spectrum = rows @ rough @ columns.T
+        mean = spectrum[0, 0]
+        spectrum = np.sign(spectrum) * np.maximum(np.abs(spectrum) - smooth, 0)
+        spectrum[0, 0] = mean
+        new = np.maximum(rows.T @ spectrum @ columns, 1e-3)
+        new /= new.mean()
+        rest = np.abs(stack - scaled * new) / max(float(np.abs(stack).mean()), 1e-12)
+        weight = 1 / (rest + 0.01)
+        done, field = float(np.abs(new - field).max()) < 1e-4, new
+        if done:
+            break
+    return field

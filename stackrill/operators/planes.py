@@ -331,10 +331,51 @@ def plane_sums(planes: DataFrame) -> DataFrame:
     return parts.repartition("movie", "channel").sortWithinPartitions("movie", "channel").mapInPandas(whole, schema)
 
 
-def flat_field(planes: DataFrame, smooth: int = 101) -> DataFrame:
-    """Each channel over its blurred mean over time, scaled to mean 1: fitted per movie and channel."""
+def mean_fields(planes: DataFrame, smooth: int = 101) -> DataFrame:
+    """(movie, channel, field_h, field_w, field): each channel's blurred mean over time, scaled to mean 1."""
+    one = planes.groupBy("movie", "channel").agg(F.min("height").alias("field_h"), F.min("width").alias("field_w"))
+
+    def run(batches):
+        for df in batches:
+            rows = []
+            for r in df.itertuples():
+                field = k.gaussian_blur(np.frombuffer(r.total, float).reshape(r.field_h, r.field_w) / r.n, smooth)
+                rows.append((r.movie, r.channel, r.field_h, r.field_w, (field / field.mean()).astype(np.float32).tobytes()))
+            yield pd.DataFrame(rows, columns=["movie", "channel", "field_h", "field_w", "field"])
+
+    return plane_sums(planes).join(one, ["movie", "channel"]).mapInPandas(run, _FIELD)
+
+
+_FIELD = "movie string, channel int, field_h int, field_w int, field binary"
+#: Side of the grids to which planes are reduced for a low-rank fit.
+GRID = 64
+
+
+def low_rank_fields(planes: DataFrame, smooth: float = 0.1, grid: int = GRID) -> DataFrame:
+    """(movie, channel, field_h, field_w, field): the field that a channel's planes share, on a grid.
+
+    Planes are reduced where they are read; a group is one channel's grids, 32 KB a frame.
+    """
+
+    def reduce(batches):
+        for df in batches:
+            rows = [(r.movie, r.channel, k.resize(decode(r).astype(float), grid, grid).astype(np.float64).tobytes()) for r in df.itertuples()]
+            yield pd.DataFrame(rows, columns=["movie", "channel", "grid"])
+
+    def fit(df: pd.DataFrame) -> pd.DataFrame:
+        field = k.low_rank_field(np.stack([np.frombuffer(g, float).reshape(grid, grid) for g in df["grid"]]), smooth)
+        return pd.DataFrame([(df["movie"].iloc[0], df["channel"].iloc[0], grid, grid, field.astype(np.float32).tobytes())], columns=["movie", "channel", "field_h", "field_w", "field"])
+
+    return _large_batches(planes).mapInPandas(reduce, "movie string, channel int, grid binary").groupBy("movie", "channel").applyInPandas(fit, _FIELD)
+
+
+def flat_field(planes: DataFrame, smooth: float = 101, method: str = "mean") -> DataFrame:
+    """Each channel over its field, fitted per movie and channel: the blurred ``mean`` over time with
+    ``smooth`` taps, or the ``low_rank`` fit with its cosines shrunk by ``smooth``."""
+    if method not in ("mean", "low_rank"):
+        raise ValueError(f"unknown method: {method}")
     names = [x.name for x in PLANE]
-    fields = plane_sums(planes)
+    fields = mean_fields(planes, int(smooth)) if method == "mean" else low_rank_fields(planes, smooth)
 
     def run(batches):
         last, field = None, None
@@ -342,13 +383,15 @@ def flat_field(planes: DataFrame, smooth: int = 101) -> DataFrame:
             rows = []
             for r in df.itertuples():
                 if last != (r.movie, r.channel):
-                    last = r.movie, r.channel
-                    field = k.gaussian_blur(np.frombuffer(r.total, float).reshape(r.height, r.width) / r.n, smooth)
-                    field = np.maximum((field / field.mean()).astype(np.float32), 1e-6)
+                    last, field = (r.movie, r.channel), np.frombuffer(r.field, np.float32).reshape(r.field_h, r.field_w)
+                    if field.shape != (r.height, r.width):
+                        field = k.resize(field, r.height, r.width)
+                    field = np.maximum(field, np.float32(1e-6))
                 rows.append(encode(_keys(r), decode(r) / field))
             yield pd.DataFrame(rows, columns=names)
 
-    return _large_batches(planes.join(fields, ["movie", "channel"]).select(*names, "n", "total")).mapInPandas(run, PLANE)
+    rows = planes.join(fields, ["movie", "channel"]).select(*names, "field_h", "field_w", "field")
+    return _large_batches(rows).mapInPandas(run, PLANE)
 
 
 def background_by_plane(planes: DataFrame, labels: DataFrame, q: float = 0.10) -> DataFrame:

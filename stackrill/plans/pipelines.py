@@ -26,7 +26,7 @@ class Settings:
     state_channel: int | None = 1
     gfp_channel: int | None = None
     pixel_size: float = 1.0
-    background: str = "blur"  # or "flat_field" for the fluorescent channels
+    background: str = "blur"  # or "flat_field" or "low_rank" for the fluorescent channels
     threshold: float = 0.5
     least_pixels: int = 20
     align: bool = True
@@ -63,7 +63,10 @@ def preprocess(stack: DataFrame, s: Settings, time_lapse: bool = True) -> DataFr
     reference = stack.where(F.col("channel") == s.reference_channel)
     others = stack.where(F.col("channel") != s.reference_channel)
     reference = planes.clear_background(planes.fix_well(reference), 20.0, "um", "divide", s.pixel_size)
-    others = planes.flat_field(others) if s.background == "flat_field" else planes.clear_background(others, 20.0, "um", "subtract", s.pixel_size)
+    if s.background == "low_rank":
+        others = planes.flat_field(others, 0.1, "low_rank")
+    else:
+        others = planes.flat_field(others) if s.background == "flat_field" else planes.clear_background(others, 20.0, "um", "subtract", s.pixel_size)
     if s.focus:
         reference = models.predict_planes(reference, s.focus, s.window)
     return reference.unionByName(others)

@@ -548,3 +548,43 @@ def test_assignment_and_shapes_against_brute_force(spark):
     parts[0, 24:30, 24:30] = 0
     rows = planes.shape_measures(tiff.planes_from_array(spark, "m", parts, "TYX")).toPandas().set_index("label")
     assert rows.loc[1, "solidity"] == 1.0 and 0.6 < rows.loc[2, "solidity"] < 0.9
+
+
+def test_crop_to_walls(spark):
+    search = crop.WallSearch(above=(20, 90), below=(20, 90), beside=(30, 140), smooth=3, reach=12, inset=(4, 4, 3), block=15, fixed=(50, 40))
+    rng = np.random.default_rng(9)
+    img = 200 + rng.normal(0, 1, (200, 300))
+    img[38:42], img[160:164] = 60, 60
+    img[:, 48:52], img[:, 248:252] = 40, 40
+    mark = rng.random((12, 12)) * 100
+    img[95:107, 145:157] = mark
+    y0, y1, x0, x1 = crop.wall_box(img, [(101.0, 151.0)], search, sides=True)
+    assert (abs(y0 - 44) <= 2, abs(y1 - 158) <= 2, abs(x0 - 53) <= 2, abs(x1 - 247) <= 2) == (True,) * 4
+    plain = np.full((200, 300), 200.0)
+    assert crop.wall_box(plain, [(101.0, 151.0)], search) == (51, 141, 0, 300)
+    stack = tiff.planes_from_array(spark, "m", np.stack([img, img]).astype(np.float32), "TYX")
+    got = crop.crop_to_walls(stack, mark, 200, 300, search=search, sides=True, least=0.9).collect()
+    assert [(r.height, r.width) for r in got] == [(y1 - y0, x1 - x0)] * 2
+    with pytest.raises(crop.NoBlockDetected):
+        crop.crop_to_walls(tiff.planes_from_array(spark, "m", plain[None].astype(np.float32), "TYX"), mark, 200, 300, search=search, least=0.9)
+
+
+def test_low_rank_field(spark):
+    """Uneven light times scenes of different brightness with sparse objects: the light is found."""
+    rng = np.random.default_rng(13)
+    y, x = np.mgrid[-1:1:64j, -1:1:64j]
+    light = 1.2 - 0.4 * (y * y + x * x)
+    light /= light.mean()
+    stack = np.empty((20, 64, 64))
+    for i in range(20):
+        scene = np.full((64, 64), rng.uniform(50, 200))
+        for _ in range(12):
+            a, b = rng.integers(0, 56, 2)
+            scene[a : a + 6, b : b + 6] += rng.uniform(100, 400)
+        stack[i] = scene * light + rng.normal(0, 1, (64, 64))
+    field = k.low_rank_field(stack)
+    assert np.abs(field - light).max() < 0.06 and np.abs(field - light).mean() < 0.01
+    assert np.abs(stack.mean(axis=0) / stack.mean() - light).mean() > 2 * np.abs(field - light).mean()
+    got = planes.flat_field(tiff.planes_from_array(spark, "m", stack.astype(np.float32), "TYX"), 0.1, "low_rank").orderBy("frame").toPandas()
+    flat = np.frombuffer(got["pixels"][0], np.float32).reshape(64, 64)
+    assert np.allclose(flat, stack[0] / field, rtol=1e-3)
