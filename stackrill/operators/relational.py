@@ -247,16 +247,20 @@ def unfinished(files: DataFrame, outputs: DataFrame, endings: Sequence[str] = ("
 def numbered(rows: DataFrame, order: Sequence[str], number: str = "number") -> DataFrame:
     """``number`` of each row from 0 in the order of ``order``, which must tell all rows apart.
 
-    Rows are dealt out by ranges and counted in each; a range's first number is the sum over the
-    ranges before it, one row for each of them. The input is read twice and must not change.
+    Rows are dealt out by ranges, which come from a sample: so they are written once, and then counted
+    and numbered range by range, after the sum over the ranges before, one row for each of them.
     """
+    from ..sources.files import work_folder
+
+    spark = rows.sparkSession
     ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_from"))
+    path = f"{work_folder(spark, 'numbered')}/rows"
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     own = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    firsts = F.min(F.struct(*order)).over(Window.partitionBy("_part"))
-    return ranged.withColumns({"_own": own, "_from": firsts}).join(starts, "_from").withColumn(number, F.col("_start") + F.col("_own")).drop("_part", "_own", "_from", "_start")
+    return ranged.withColumn("_own", own).join(starts, "_part").withColumn(number, F.col("_start") + F.col("_own")).drop("_part", "_own", "_start")
 
 
 def split_blocks(files: DataFrame, blocks: int, order: str = "name") -> DataFrame:
