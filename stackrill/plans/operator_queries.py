@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fs
-from ..operators import pixels, relational
-from ..sources import files
-from .queries import _B, _L, _M, _P, _SERIES, _query, _r, _read, _series, boxes, labelled, measurements, pixel_table
+from ..operators import pixels, planes, relational
+from ..sources import files, tiff
+from .queries import _B, _L, _M, _P, _SERIES, _query, _r, _read, _series, boxes, labelled, measurements, pixel_table, plane_table
 
 
 @_query("leading_columns", f"WITH {_M} SELECT label, frame, 0 AS slice, frame % 2 AS channel, movie, round(centroid_0, 6) AS y, round(centroid_1, 6) AS x FROM m WHERE frame % 2 = 1")
@@ -120,3 +120,46 @@ def _csv_tables(spark, sf):
     files.write_csv(part.where("p_partkey % 2 = 1"), f"{folder}/b_fl.csv")
     rows = files.read_csvs(spark, folder, "file", "_fl")
     return rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("p_retailprice").alias("total"), F.sum("p_size").alias("size"))
+
+
+@_query("table_sinks", f"WITH {_M} SELECT movie, (SELECT count(*) FROM m x WHERE x.movie = m.movie) AS n, round(sum(area), 6) AS area, sum(CASE WHEN pi_class = 'piPOS' THEN 1 ELSE 0 END) AS pos FROM m GROUP BY 1")
+def _table_sinks(spark, sf):
+    """Measurements and summary written, one partition for each file, and read back."""
+    m = measurements(spark, sf).withColumn("file", F.col("movie"))
+    folder = files.work_folder(spark, "tables")
+    files.write_tables(m, relational.pi_summary(m, ("file", "object_class")), folder)
+    measured, summary = (spark.read.parquet(f"{folder}/{t}") for t in ("fl", "summary"))
+    counts = summary.groupBy("file").agg(F.sum("total_count").alias("n"), F.sum("pi_class_pos").cast("long").alias("pos"))
+    return measured.groupBy("file").agg(F.sum("area").alias("area")).join(counts, "file").withColumnRenamed("file", "movie")
+
+
+@_query("file_listing", "SELECT 'img' || n_nationkey || ['.nd2', '.tiff', '.csv', '.ome.tiff'][CAST(n_nationkey % 4 AS INTEGER) + 1] AS name, 'img' || n_nationkey AS stem FROM nation WHERE n_nationkey % 4 <> 2 AND 'img' || n_nationkey LIKE 'img1%'")
+def _file_listing(spark, sf):
+    folder = files.work_folder(spark, "listing")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for r in _read(spark, sf, "nation").collect():  # 25 rows at every scale
+        path = hadoop.Path(f"{folder}/img{r.n_nationkey}{('.nd2', '.tiff', '.csv', '.ome.tiff')[r.n_nationkey % 4]}")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+        out.write(0)
+        out.close()
+    return files.find_files(spark, folder, "img1").select("name", "stem")
+
+
+@_query("tiff_round_trip", f"WITH {_P} SELECT movie || '_labels' AS movie, frame, y, x, round(value, 6) AS value FROM p WHERE movie = 'm1'")
+def _tiff_round_trip(spark, sf):
+    """A movie's planes as one TIFF file, and read from it."""
+    folder = files.work_folder(spark, "tiff").removeprefix("file:")
+    tiff.save_tiffs(plane_table(spark, sf).where("movie = 'm1'"), folder, "_labels.tiff").collect()
+    stack = tiff.read_planes(spark, f"file:{folder}").where("error IS NULL").drop("pixel_size", "error")
+    return planes.to_pixels(stack).drop("slice", "channel")
+
+
+@_query("plane_scale", f"""WITH {_P}, c AS (SELECT movie, frame, x, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.998) AS hi FROM p GROUP BY 1, 2, 3),
+e AS (SELECT movie, frame, quantile_cont(lo, 0.01) AS lo, quantile_cont(hi, 0.998) AS hi FROM c GROUP BY 1, 2) SELECT movie, frame, y, x, round(CAST(CAST((value - lo) / (hi - lo) AS FLOAT) AS DOUBLE), 5) AS value FROM p JOIN e USING (movie, frame)""")
+def _plane_scale(spark, sf):
+    return planes.to_pixels(planes.scale(plane_table(spark, sf))).drop("slice", "channel").withColumn("value", F.round("value", 5))
+
+
+@_query("plane_zscore", f"WITH {_P} SELECT movie, frame, y, x, round(CAST(CAST((value - avg(value) OVER w) / (stddev_samp(value) OVER w + 1e-6) AS FLOAT) AS DOUBLE), 5) AS value FROM p WINDOW w AS (PARTITION BY movie, frame)")
+def _plane_zscore(spark, sf):
+    return planes.to_pixels(planes.scale(plane_table(spark, sf), "zscore")).drop("slice", "channel").withColumn("value", F.round("value", 5))

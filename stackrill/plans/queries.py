@@ -570,7 +570,25 @@ def _flat_field(spark, sf):
     return planes.to_pixels(planes.flat_field(plane_table(spark, sf), 5)).groupBy("movie", "frame").agg(F.avg("value").alias("mean"))
 
 
-@_query("target_line")
+def _filled(v: str) -> str:
+    """SQL of a series without gaps, over the windows ``back`` and ``ahead``."""
+    a, z = f"last_value({v} IGNORE NULLS) OVER back", f"first_value({v} IGNORE NULLS) OVER ahead"
+    at = f"CASE WHEN {v} IS NOT NULL THEN frame END IGNORE NULLS"
+    return f"coalesce({v}, {a} + ({z} - {a}) * ((frame - last_value({at}) OVER back) / nullif(first_value({at}) OVER ahead - last_value({at}) OVER back, 0)), {a}, {z}, 0) AS {v}"
+
+
+@_query("target_line", f"""WITH {_B}, k AS (SELECT movie, frame, floor(x1 / 250) AS g, min(x1) AS x, quantile_cont(y1, 0.5) AS y FROM b GROUP BY 1, 2, 3),
+r AS (SELECT k.* FROM k JOIN (SELECT movie, min(frame) AS frame FROM k GROUP BY 1) f USING (movie, frame)),
+t AS (SELECT movie, quantile_cont(tilt, 0.5) AS tilt FROM (SELECT movie, frame, coalesce(degrees(atan(regr_slope(y, x))), 0) AS tilt FROM k GROUP BY 1, 2 HAVING count(*) >= 2) GROUP BY 1),
+c AS (SELECT movie, cy, greatest(0, CAST(round_even(cy - 800, 0) AS INTEGER)) AS top, least(2000, CAST(round_even(cy + 775, 0) AS INTEGER)) AS low FROM (SELECT movie, quantile_cont(y, 0.5) AS cy FROM r GROUP BY 1)),
+n AS (SELECT k.movie, k.frame, k.x, k.y, arg_min(r.x, (abs(k.x - r.x), r.x)) AS rx, arg_min(r.y, (abs(k.x - r.x), r.x)) AS ry FROM k JOIN r ON k.movie = r.movie GROUP BY 1, 2, 3, 4),
+d AS (SELECT movie, frame, quantile_cont(x - rx, 0.5) AS dx, quantile_cont(y - ry, 0.5) AS dy FROM n WHERE abs(x - rx) <= 300 AND abs(y - ry) <= 300 GROUP BY 1, 2),
+p AS (SELECT u.movie, u.frame, dx, dy, dx IS NOT NULL AS found FROM (SELECT DISTINCT movie, frame FROM b) u LEFT JOIN d USING (movie, frame)),
+i AS (SELECT movie, frame, found, {_filled('dx')}, {_filled('dy')} FROM p
+  WINDOW back AS (PARTITION BY movie ORDER BY frame ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), ahead AS (PARTITION BY movie ORDER BY frame ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+m AS (SELECT movie, frame, found, quantile_cont(dx, 0.5) OVER w AS dx, quantile_cont(dy, 0.5) OVER w AS dy FROM i WINDOW w AS (PARTITION BY movie ORDER BY frame ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+o AS (SELECT m.*, cy, coalesce(tilt, 0) AS tilt, low - top AS high, greatest(0, least(2000 - (low - top), top + CAST(round_even(dy, 0) AS INTEGER))) AS y0 FROM m JOIN c USING (movie) LEFT JOIN t USING (movie))
+SELECT movie, frame, round(greatest(-1, least(1, tilt)), 6) AS tilt, found, round(cy, 6) AS cy, round(dy, 6) AS dy, round(dx, 6) AS dx, y0, y0 + high AS y1, 0 AS x0, 1100 AS x1 FROM o""")
 def _target_line(spark, sf):
     b = boxes(spark, sf)
     blocks = b.groupBy("movie", "frame", F.floor(F.col("x1") / 250).alias("k")).agg(F.min("x1").alias("x"), F.percentile("y1", F.lit(0.5)).alias("y")).drop("k")
