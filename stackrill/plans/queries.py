@@ -543,7 +543,16 @@ def _plane_labels(spark, sf):
     return planes.to_pixels(planes.label_planes(plane_table(spark, sf), 0.05, 3)).where("value > 0")
 
 
-@_query("plane_alignment")
+#: Phase correlation by the sums of the discrete transform: the peak is the shift to the first frame.
+_PHASE = f"""WITH {_P}, z AS (SELECT movie, frame, y, x, value - avg(value) OVER (PARTITION BY movie, frame) AS value FROM p), e AS (SELECT unnest(range(8)) AS i),
+w AS (SELECT movie, frame, u.i AS u, v.i AS v, sum(value * cos(2 * pi() * (u.i * y + v.i * x) / 8)) AS re, -sum(value * sin(2 * pi() * (u.i * y + v.i * x) / 8)) AS im FROM z, e u, e v GROUP BY 1, 2, 3, 4),
+r AS (SELECT b.movie, b.frame, u, v, a.re * b.re + a.im * b.im AS re, a.im * b.re - a.re * b.im AS im FROM w b JOIN (SELECT * FROM w QUALIFY frame = min(frame) OVER (PARTITION BY movie)) a USING (movie, u, v)),
+c AS (SELECT movie, frame, y.i AS y, x.i AS x, sum((re * cos(2 * pi() * (u * y.i + v * x.i) / 8) - im * sin(2 * pi() * (u * y.i + v * x.i) / 8)) / greatest(sqrt(re * re + im * im), 1e-12)) AS c FROM r, e y, e x GROUP BY 1, 2, 3, 4),
+k AS (SELECT movie, frame, y, x, frame = min(frame) OVER (PARTITION BY movie) AS first FROM c QUALIFY row_number() OVER (PARTITION BY movie, frame ORDER BY c DESC, y, x) = 1)
+SELECT movie, frame, CAST(CASE WHEN first THEN 0 WHEN y > 4 THEN y - 8 ELSE y END AS INTEGER) AS dy, CAST(CASE WHEN first THEN 0 WHEN x > 4 THEN x - 8 ELSE x END AS INTEGER) AS dx FROM k"""
+
+
+@_query("plane_alignment", _PHASE)
 def _plane_alignment(spark, sf):
     return planes.align_shifts(plane_table(spark, sf))
 
@@ -565,9 +574,11 @@ def _roi_crops(spark, sf):
     return found.select("movie", "frame", "label", "bytes", F.when(F.col("side") <= 6, F.round("total", 4)).alias("total"))
 
 
-@_query("flat_field")
+@_query("flat_field", f"""WITH {_P}, a AS (SELECT movie, 0 AS frame, y, x, avg(value) AS value FROM p GROUP BY 1, 3, 4), {_blur_sql('a', 5)},
+f AS (SELECT movie, y, x, greatest(CAST(value / avg(value) OVER (PARTITION BY movie) AS FLOAT), CAST(1e-6 AS FLOAT)) AS field FROM g)
+SELECT movie, frame, round(avg(CAST(CAST(value AS FLOAT) / field AS DOUBLE)), 3) AS mean FROM p JOIN f USING (movie, y, x) GROUP BY 1, 2""")
 def _flat_field(spark, sf):
-    return planes.to_pixels(planes.flat_field(plane_table(spark, sf), 5)).groupBy("movie", "frame").agg(F.avg("value").alias("mean"))
+    return planes.to_pixels(planes.flat_field(plane_table(spark, sf), 5)).groupBy("movie", "frame").agg(F.round(F.avg("value"), 3).alias("mean"))
 
 
 def _filled(v: str) -> str:

@@ -30,7 +30,7 @@ def test_equals_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(engine.queries()) - set(engine.oracle_sql()) - {"shape_measures", "hungarian_v5"}))
+@pytest.mark.parametrize("name", sorted(set(engine.queries()) - set(engine.oracle_sql())))
 def test_runs(spark, name):
     assert engine.queries()[name](spark, SF).count() > 0
 
