@@ -173,7 +173,8 @@ def take_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3,
     """The mix itself: rows of ``docs``, each as often as it was taken, with all their columns.
 
     Copies are range-sorted by virtual finish time and cut at the total budget, so partitions, and
-    the files written from them, follow the merged order. Null and empty texts are never taken;
+    the files written from them, follow the merged order. Texts are shuffled twice at every size, once to
+    their copies and once into that order. Null and empty texts are never taken;
     see :func:`mix_sources` for null sources, ties and repeated rows.
     """
     docs = located(docs)
@@ -182,7 +183,7 @@ def take_mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3,
     epochs = F.filter(F.array(*(F.when(taken(e), F.lit(e)) for e in range(cap))), lambda e: e.isNotNull())
     mix = queued.where("size > 0").select(F.col("at").alias("_sr_mixed"), "key", "h", F.explode(epochs).alias("epoch"), "source_size", "upto", "target")
     mix = stored(mix.select("_sr_mixed", F.struct(_finish(F.col("epoch")).alias("finish"), "key", "h", F.col("epoch").alias("epoch")).alias("_sr_place")), "mix-copies")
-    found = docs.join(small(mix, 128), docs["_sr_at"] == F.col("_sr_mixed"))
+    found = docs.join(mix.hint("merge"), docs["_sr_at"] == F.col("_sr_mixed"))
     order = ["_sr_place.finish", "_sr_place.key", "_sr_place.h", "_sr_at", "_sr_place.epoch"]
     names = [c for c in docs.columns if c != "_sr_at"]
     return found.repartitionByRange(*order).sortWithinPartitions(*order).select(*names)
