@@ -37,14 +37,15 @@ def sums_before(parts: DataFrame, by: list[str], at: str, value: str, bits: int,
     ``base`` sums ``value`` over all smaller ``at``, level by level: no window has more than
     2 ** :data:`LEVEL` rows, however many parts there are.
     """
-    coarse = [*by, "coarse"]
-    split = parts.withColumn("coarse", F.shiftright(at, LEVEL))
+    high = f"{at}_high"
+    coarse = [*by, high]
+    split = parts.withColumn(high, F.shiftright(at, LEVEL))
     window = Window.partitionBy(*coarse).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
     inside = split.withColumn("inside", F.coalesce(F.sum(value).over(window), F.lit(0)))
     if bits <= LEVEL:
         return temp.stored(inside.select(*by, at, F.col("inside").alias("base")), "mix-base")
     above = temp.stored(split.groupBy(*coarse).agg(F.sum(value).alias(value)), "mix-level")
-    above = sums_before(above, by, "coarse", value, bits - LEVEL, temp)
+    above = sums_before(above, by, high, value, bits - LEVEL, temp)
     return temp.stored(inside.join(small(above, 96), coarse).select(*by, at, (F.col("base") + F.col("inside")).alias("base")), "mix-base")
 
 
