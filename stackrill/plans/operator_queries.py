@@ -111,7 +111,7 @@ def _worklist_semijoin(spark, sf):
     return files.select_files(listed, "img1", wanted).select("o_orderkey", "stem")
 
 
-@_query("csv_tables", "SELECT file, count(*) AS n, round(sum(p_retailprice), 6) AS total, CAST(sum(CASE WHEN file = 'b_fl.csv' THEN p_size END) AS BIGINT) AS size FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'a_fl.csv' ELSE 'b_fl.csv' END AS file, * FROM part) GROUP BY 1")
+@_query("csv_tables", "SELECT file, count(*) AS n, round(sum(p_retailprice), 6) AS total, coalesce(CAST(sum(CASE WHEN file = 'b_fl.csv' THEN p_size END) AS BIGINT), 0) AS size FROM (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'a_fl.csv' ELSE 'b_fl.csv' END AS file, * FROM part) GROUP BY 1")
 def _csv_tables(spark, sf):
     """Two CSV files whose headers differ, written, and read together with the file of each row."""
     part = _read(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
@@ -119,7 +119,7 @@ def _csv_tables(spark, sf):
     files.write_csv(part.where("p_partkey % 2 = 0").drop("p_size"), f"{folder}/a_fl.csv")
     files.write_csv(part.where("p_partkey % 2 = 1"), f"{folder}/b_fl.csv")
     rows = files.read_csvs(spark, folder, "file", "_fl")
-    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("p_retailprice").alias("total"), F.sum("p_size").alias("size"))
+    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("p_retailprice").alias("total"), F.coalesce(F.sum("p_size"), F.lit(0)).cast("long").alias("size"))
 
 
 @_query("table_sinks", f"WITH {_M} SELECT movie, (SELECT count(*) FROM m x WHERE x.movie = m.movie) AS n, round(sum(area), 6) AS area, CAST(sum(CASE WHEN pi_class = 'piPOS' THEN 1 ELSE 0 END) AS BIGINT) AS pos FROM m GROUP BY 1")
