@@ -2,9 +2,10 @@
 
 The network reads the bytes of a segment in both directions and labels every position with a
 probability for each language; a document's probability pools the log-probabilities of all its
-positions. Segments are the words of a text (the state starts anew at white space; longer runs are
-read in pieces), so the labels of a word are computed once and added wherever it recurs: a whole
-text costs one look-up per word, and every position of it counts.
+positions. Segments are the words of a text, each with the white space before it as one space (the state
+starts anew there; longer words are read in pieces), so every position has a label, and those of a word
+are computed once and pooled wherever it recurs: a whole text costs one look-up per word. The positions
+of a word are not independent, so a word counts by the mean over its positions.
 
 It is trained in numpy by backpropagation through time on a bounded sample of the labelled rows.
 """
@@ -92,19 +93,24 @@ class Model:
         return _log_softmax(np.concatenate((a, b), axis=2) @ self.out + self.bias)
 
     def word_scores(self, words: list[bytes]) -> np.ndarray:
-        """Sum of the log-probabilities over the positions of each word (word, language)."""
+        """Mean log-probabilities over the positions of each word (word, language)."""
         total = np.zeros((len(words), len(self.langs)), np.float32)
         by_length: dict[int, list[tuple[int, bytes]]] = {}
         for i, word in enumerate(words):
-            for k in range(0, len(word), SEGMENT):
-                part = word[k : k + SEGMENT]
+            for part in segments(word):
                 by_length.setdefault(len(part), []).append((i, part))
         for length, parts in by_length.items():
             for k in range(0, len(parts), 4096):
                 some = parts[k : k + 4096]
                 ids = np.frombuffer(b"".join(p for _, p in some), np.uint8).reshape(-1, length)
                 np.add.at(total, [i for i, _ in some], self.labels(ids).sum(axis=0))
-        return total
+        return total / np.array([[len(w) + 1] for w in words], np.float32)
+
+
+def segments(word: bytes) -> list[bytes]:
+    """A word behind its space, in pieces of :data:`SEGMENT` bytes at most."""
+    spaced = b" " + word
+    return [spaced[k : k + SEGMENT] for k in range(0, len(spaced), SEGMENT)]
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -125,8 +131,7 @@ def train(words: list[bytes], langs: list[str], seed: int = 11, hidden: int = HI
     m1, m2, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     by_length: dict[int, list[tuple[bytes, int]]] = {}
     for word, lang in zip(words, langs):
-        for k in range(0, len(word), SEGMENT):
-            part = word[k : k + SEGMENT]
+        for part in segments(word):
             by_length.setdefault(len(part), []).append((part, number[lang]))
     sets = [(np.frombuffer(b"".join(w for w, _ in v), np.uint8).reshape(-1, n), np.array([y for _, y in v])) for n, v in sorted(by_length.items())]
     for epoch in range(epochs):
@@ -155,8 +160,8 @@ def train(words: list[bytes], langs: list[str], seed: int = 11, hidden: int = HI
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS_PER_LANG, words: int = WORDS, seed: int = 11) -> Model | None:
     """Train on a sample of the rows with a language: about ``docs_per_lang`` rows of each.
 
-    Of their words, ``words`` occurrences at most reach the driver. None if no row has both a
-    language and a word.
+    Of their words, ``words`` occurrences at most reach the driver, very long ones in pieces, of which
+    each is drawn for itself. None if no row has both a language and a word.
     """
     text_batches(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
@@ -167,13 +172,15 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", docs_pe
     unit = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 30)) / float(1 << 30)
     rows = rows.where(unit(F.col("text")) < share[F.col("lang")])
     each = max(1, words // len(counts))
-    occurrences = rows.select("lang", F.xxhash64("text").alias("k"), F.posexplode(F.split("text", r"[\x20\x09-\x0D]+")).alias("at", "word")).where("word != ''")
+    occurrences = rows.select("lang", F.xxhash64("text").alias("k"), F.posexplode(F.split("text", r"[\x20\x09-\x0D]+")).alias("at", "whole")).where("whole != ''")
+    pieces = F.transform(F.sequence(F.lit(0), F.expr(f"(length(whole) - 1) div {SEGMENT}")), lambda i: F.substring("whole", (i * SEGMENT + 1).cast("int"), F.lit(SEGMENT)))
+    occurrences = occurrences.select("lang", "k", "at", F.posexplode(pieces).alias("part", "word"))
     sizes = {r["lang"]: r["n"] for r in occurrences.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))))
-    order = unit(F.col("k"), F.col("at"))
-    drawn = occurrences.where(order < share[F.col("lang")]).select("lang", F.encode(F.substring("word", 1, 4 * SEGMENT), "UTF-8").alias("word"), order.alias("o"))
+    order = unit(F.col("k"), F.col("at"), F.col("part"))
+    drawn = occurrences.where(order < share[F.col("lang")]).select("lang", F.encode("word", "UTF-8").alias("word"), order.alias("o"))
     found = drawn.orderBy("o", "lang", "word").limit(2 * words).toPandas()
     return train([bytes(w) for w in found["word"]], found["lang"].tolist(), seed)
 
@@ -202,8 +209,7 @@ def predict_udf(model: Model | None):
                 out.append({"lang": UNKNOWN, "score": 0.0})
                 continue
             total = table[0][[ids[w] for w in words]].sum(axis=0, dtype=np.float64)
-            # Positions of a word are not independent: count it about once.
-            p = np.exp(_log_softmax(total / 6.0))
+            p = np.exp(_log_softmax(total))
             best = int(np.argmax(p))
             out.append({"lang": model.langs[best], "score": float(p[best])})
         return pa.array(out, schema)
