@@ -35,32 +35,113 @@ def box_area(b: np.ndarray) -> np.ndarray:
 
 
 def iou(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    w = np.clip(np.minimum(one[2], many[:, 2]) - np.maximum(one[0], many[:, 0]), 0, None)
-    h = np.clip(np.minimum(one[3], many[:, 3]) - np.maximum(one[1], many[:, 1]), 0, None)
+    return _ious(one[None], many)
+
+
+def _ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    w = np.clip(np.minimum(a[:, 2], b[:, 2]) - np.maximum(a[:, 0], b[:, 0]), 0, None)
+    h = np.clip(np.minimum(a[:, 3], b[:, 3]) - np.maximum(a[:, 1], b[:, 1]), 0, None)
     both = w * h
-    whole = box_area(one[None])[0] + box_area(many) - both
-    return np.divide(both, whole, out=np.zeros(len(many)), where=whole > 0)
+    whole = box_area(a) + box_area(b) - both
+    return np.divide(both, whole, out=np.zeros(len(both)), where=whole > 0)
+
+
+def met(one: np.ndarray, many: np.ndarray, most: float, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the boxes one[i] and many[j] that overlap by more than ``most`` (>= 0); all have an area.
+
+    Such an overlap spans more than ``most`` of either's width and height. So the corner of many[j] lies within
+    ``1 - most`` of one[i]'s width after its own and within ``1 / most - 1`` of it before, and only the
+    grid cells of that window are looked at, ``block`` pairs at a time.
+    """
+    none = np.zeros(0, np.int64)
+    if not len(one) or not len(many):
+        return none, none
+    first, last, cells = [], [], []
+    width = np.zeros(2, np.int64)
+    for axis in (0, 1):
+        at, size, own = one[:, axis], one[:, axis + 2] - one[:, axis], many[:, axis]
+        base, extent = own.min(), own.max() - own.min()
+        step = max(float(np.median(many[:, axis + 2] - own)), extent / 256)
+        width[axis] = int(extent / step) + 1
+        place = lambda c: np.clip(np.floor((c - base) / step), -1, width[axis]).astype(np.int64)  # noqa: B023, E731
+        slack = 1e-9 * (size + np.abs(at))
+        with np.errstate(divide="ignore"):
+            low, high = place(at - (np.divide(1.0, most) - 1) * size - slack), place(at + (1 - most) * size + slack)
+        first.append(np.maximum(low, 0))
+        last.append(np.minimum(high, width[axis] - 1))
+        cells.append(np.clip(place(own), 0, width[axis] - 1))
+    cell = cells[1] * width[0] + cells[0]
+    by_cell = np.argsort(cell, kind="stable")
+    start = np.concatenate(([0], np.cumsum(np.bincount(cell, minlength=width[0] * width[1]))))
+    strips = np.where((last[0] < first[0]), 0, np.maximum(last[1] - first[1] + 1, 0))
+    found = [(none, none)]
+    for rows in _blocks(strips, block):
+        i, k = _spread(rows, strips[rows])
+        row = (first[1][i] + k) * width[0]
+        begin, end = start[row + first[0][i]], start[row + last[0][i] + 1]
+        for part in _blocks(end - begin, block):
+            e, k = _spread(part, (end - begin)[part])
+            left, right = i[e], by_cell[begin[e] + k]
+            over = _ious(one[left], many[right]) > most
+            found.append((left[over], right[over]))
+    left, right = (np.concatenate(x) for x in zip(*found))
+    return left, right
+
+
+def _blocks(counts: np.ndarray, most: int):
+    """Places of ``counts`` in turn, each block with a sum of about ``most``."""
+    total = np.cumsum(counts)
+    cuts = np.searchsorted(total, np.arange(most, total[-1] if len(total) else 0, most)) + 1
+    return (x for x in np.split(np.arange(len(counts)), cuts) if len(x))
+
+
+def _spread(places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place ``counts`` times, and the numbers from 0 of its copies."""
+    return np.repeat(places, counts), np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _greedy(boxes: np.ndarray, most: float) -> np.ndarray:
+    """Which boxes, best first, no better kept box overlaps by more than ``most``.
+
+    They are taken in growing runs: the kept ones strike out a run's boxes, and those left compete in order.
+    """
+    alive, kept, done = np.ones(len(boxes), bool), np.zeros(0, np.int64), 0
+    while done < len(boxes):
+        run = np.arange(done, min(len(boxes), done + max(256, done // 4)))
+        alive[run[met(boxes[run], boxes[kept], most)[0]]] = False
+        run = run[alive[run]]
+        better, worse = met(boxes[run], boxes[run], most)
+        order = np.argsort(better, kind="stable")
+        order = order[better[order] < worse[order]]
+        better, worse = better[order], run[worse[order]]
+        firsts, begins = np.unique(better, return_index=True)
+        for i, lo, hi in zip(run[firsts].tolist(), begins.tolist(), [*begins[1:].tolist(), len(better)]):
+            if alive[i]:
+                alive[worse[lo:hi]] = False
+        kept = np.concatenate((kept, run[alive[run]]))
+        done = min(len(boxes), done + max(256, done // 4))
+    return alive
 
 
 def nms(boxes: np.ndarray, scores: np.ndarray, most: float, areas: np.ndarray | None = None, classes: np.ndarray | None = None) -> list[int]:
     """Boxes kept, best first: none overlaps a better one by more than ``most``.
 
     Equal scores go to the larger area (a tiebreak of 1e-7 at most). With ``classes`` only boxes of
-    one class compete.
+    one class compete. Boxes without an area, or without a finite one, overlap none.
     """
     if not len(boxes):
         return []
+    boxes = np.asarray(boxes, float)
     areas = box_area(boxes) if areas is None else np.asarray(areas, float)
     rank = np.asarray(scores, float) + 1e-7 * areas / max(areas.max(), 1e-12)
-    left, kept = np.argsort(-rank, kind="stable"), []
-    while len(left):
-        best, left = left[0], left[1:]
-        kept.append(int(best))
-        rivals = iou(boxes[best], boxes[left]) > most
-        if classes is not None:
-            rivals &= classes[left] == classes[best]
-        left = left[~rivals]
-    return kept
+    order = np.argsort(-rank, kind="stable")
+    codes = np.zeros(len(boxes), np.int64) if classes is None else pd.factorize(np.asarray(classes))[0]
+    kept = np.ones(len(boxes), bool)  # by rank
+    able = (codes >= 0) if most < 0 else (codes >= 0) & np.isfinite(boxes).all(axis=1) & (boxes[:, 2] > boxes[:, 0]) & (boxes[:, 3] > boxes[:, 1])
+    for code in np.unique(codes[able]):
+        own = np.flatnonzero((able & (codes == code))[order])
+        kept[own] = np.arange(len(own)) == 0 if most < 0 else _greedy(boxes[order[own]], most)
+    return order[kept].tolist()
 
 
 def merge_clumps(boxes: np.ndarray, scores: np.ndarray, masks: list[np.ndarray], offsets: np.ndarray, least: int) -> list[tuple[np.ndarray, float, np.ndarray]]:
@@ -175,10 +256,11 @@ def merge_frame(shape: tuple[int, int], boxes: np.ndarray, scores: np.ndarray, c
 
 def suppress(detections: DataFrame, most: float = 0.4, keys: tuple[str, ...] = ("movie", "frame"), per_class: bool = False) -> DataFrame:
     """Non-maximum suppression of each frame's boxes; all columns of the kept ones."""
-    columns = detections.columns
+    columns = [c for c in detections.columns if c not in keys]
+    plain = all(t in ("double", "float", "int", "bigint", "smallint", "tinyint") for c, t in detections.dtypes if c in columns)
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(columns, kind="stable").reset_index(drop=True)
+        df = df.iloc[np.lexsort([df[c].to_numpy() for c in columns[::-1]])] if plain else df.sort_values(columns, kind="stable")
         kept = nms(df[["x1", "y1", "x2", "y2"]].to_numpy(float), df["score"].to_numpy(float), most, None, df["class_id"].to_numpy() if per_class else None)
         return df.iloc[sorted(kept)]
 

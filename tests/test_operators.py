@@ -231,6 +231,46 @@ def test_ellipse_axes(spark):
     assert abs(r.major_axis_length - 60) < 1 and abs(r.minor_axis_length - 24) < 1 and abs(abs(r.orientation) - np.pi / 2) < 1e-6
 
 
+def greedy_boxes(boxes, scores, most, classes):
+    rank = scores + 1e-7 * detect.box_area(boxes) / max(detect.box_area(boxes).max(), 1e-12)
+    kept = []
+    for i in np.argsort(-rank, kind="stable"):
+        over = detect.iou(boxes[i], boxes[kept]) > most if kept else np.zeros(0, bool)
+        if not (over & (classes[kept] == classes[i])).any():
+            kept.append(int(i))
+    return kept
+
+
+@pytest.mark.parametrize("most", [-1.0, 0.0, 0.1, 0.4, 0.95, 1.0])
+def test_nms_equals_brute_force(most):
+    r = np.random.default_rng(3)
+    for span, spread in ((30.0, 0.0), (300.0, 1.0), (1e7, 3.0)):
+        at = r.random((400, 2)) * span - span / 2
+        boxes = np.floor(np.concatenate((at, at + np.exp(r.normal(2, spread, (400, 2)))), axis=1))
+        boxes[5:10, 2] = boxes[5:10, 0]  # no area
+        boxes[390:] = boxes[:10]
+        scores, classes = np.round(r.random(400), 1), r.integers(0, 3, 400)
+        assert detect.nms(boxes, scores, most, classes=classes) == greedy_boxes(boxes, scores, most, classes)
+        assert detect.nms(boxes, scores, most) == greedy_boxes(boxes, scores, most, np.zeros(400))
+        classes = np.where(r.random(400) < 0.1, np.nan, classes)  # boxes of no known class compete with none
+        assert detect.nms(boxes, scores, most, classes=classes) == greedy_boxes(boxes, scores, most, classes)
+
+
+def test_nms_compares_near_boxes_only(monkeypatch):
+    n, looked, area = 20_000, [], detect.box_area
+    monkeypatch.setattr(detect, "box_area", lambda b: looked.append(len(b)) or area(b))
+    at = np.random.default_rng(4).random((n, 2)) * 4000
+    kept = detect.nms(np.concatenate((at, at + 30), axis=1), np.random.default_rng(5).random(n), 0.4)
+    assert n / 4 < len(kept) < n and sum(looked) < 50 * n
+
+
+def test_suppress_orders_ties_by_all_columns(spark):
+    rows = [("a", 0, 0.0, 0.0, 9.0, 9.0, c, 0.5, note) for c, note in ((1, "y"), (0, "z"), (0, "x"))]
+    df = spark.createDataFrame(rows, "movie string, frame int, x1 double, y1 double, x2 double, y2 double, class_id int, score double, note string")
+    assert [(r.class_id, r.note) for r in detect.suppress(df).collect()] == [(0, "x")]
+    assert [r.class_id for r in detect.suppress(df.drop("note"), per_class=True).orderBy("class_id").collect()] == [0, 1]
+
+
 def test_equal_axes_have_one_orientation(spark):
     at = [(4, 1), (5, 1), (5, 3), (6, 1), (6, 3), (7, 0), (7, 1), (7, 2), (7, 3)]  # equal moments, which differ in the last digit as doubles
     img = np.zeros((8, 8), np.float32)
