@@ -264,6 +264,15 @@ def test_nms_compares_near_boxes_only(monkeypatch):
     assert n / 4 < len(kept) < n and sum(looked) < 50 * n
 
 
+def test_nms_per_class_compares_near_boxes_only(monkeypatch):
+    n, looked, area = 20_000, [], detect.box_area
+    monkeypatch.setattr(detect, "box_area", lambda b: looked.append(len(b)) or area(b))
+    r = np.random.default_rng(6)
+    at, classes = r.random((n, 2)) * 4000, r.integers(0, 3, n)
+    kept = detect.nms(np.concatenate((at, at + 30), axis=1), r.random(n), 0.4, classes=classes)
+    assert n / 2 < len(kept) < n and sum(looked) < 50 * n
+
+
 def test_suppress_orders_ties_by_all_columns(spark):
     rows = [("a", 0, 0.0, 0.0, 9.0, 9.0, c, 0.5, note) for c, note in ((1, "y"), (0, "z"), (0, "x"))]
     df = spark.createDataFrame(rows, "movie string, frame int, x1 double, y1 double, x2 double, y2 double, class_id int, score double, note string")
