@@ -7,7 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Classes of the instance segmenter, and which of two overlapping objects stays. Fixed values.
 CELL, CLUMP, DEBRIS = 0, 1, 2
@@ -46,12 +49,13 @@ def _ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.divide(both, whole, out=np.zeros(len(both)), where=whole > 0)
 
 
-def met(one: np.ndarray, many: np.ndarray, most: float, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def met(one: np.ndarray, many: np.ndarray, most: float, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of the boxes one[i] and many[j] that overlap by more than ``most`` (>= 0); all have an area.
 
     Such an overlap spans more than ``most`` of either's width and height. So the corner of many[j] lies within
     ``1 - most`` of one[i]'s width after its own and within ``1 / most - 1`` of it before, and only the
-    grid cells of that window are looked at, ``block`` pairs at a time.
+    grid cells of that window are looked at, ``block`` pairs at a time, so that they stay in the processor's cache.
+    Cells are narrower than high, as those of a row are read in one go.
     """
     none = np.zeros(0, np.int64)
     if not len(one) or not len(many):
@@ -61,7 +65,7 @@ def met(one: np.ndarray, many: np.ndarray, most: float, block: int = 1 << 20) ->
     for axis in (0, 1):
         at, size, own = one[:, axis], one[:, axis + 2] - one[:, axis], many[:, axis]
         base, extent = own.min(), own.max() - own.min()
-        step = max(float(np.median(many[:, axis + 2] - own)), extent / 256)
+        step = max(float(np.median(many[:, axis + 2] - own)) / (8, 3)[axis], extent / 256)
         width[axis] = int(extent / step) + 1
         place = lambda c: np.clip(np.floor((c - base) / step), -1, width[axis]).astype(np.int64)  # noqa: B023, E731
         slack = 1e-9 * (size + np.abs(at))
@@ -74,14 +78,20 @@ def met(one: np.ndarray, many: np.ndarray, most: float, block: int = 1 << 20) ->
     by_cell = np.argsort(cell, kind="stable")
     start = np.concatenate(([0], np.cumsum(np.bincount(cell, minlength=width[0] * width[1]))))
     strips = np.where((last[0] < first[0]), 0, np.maximum(last[1] - first[1] + 1, 0))
+    lefts, rights = np.ascontiguousarray(one[:, 0]), np.ascontiguousarray(one[:, 2])
+    other_lefts, other_rights = many[by_cell, 0], many[by_cell, 2]
+    wide = most * (rights - lefts) * (1 - 1e-9)
     found = [(none, none)]
     for rows in _blocks(strips, block):
         i, k = _spread(rows, strips[rows])
         row = (first[1][i] + k) * width[0]
         begin, end = start[row + first[0][i]], start[row + last[0][i] + 1]
         for part in _blocks(end - begin, block):
-            e, k = _spread(part, (end - begin)[part])
-            left, right = i[e], by_cell[begin[e] + k]
+            n, who = (end - begin)[part], i[part]
+            j = np.arange(n.sum()) + np.repeat(begin[part] + n - np.cumsum(n), n)
+            spans = np.minimum(np.repeat(rights[who], n), other_rights[j]) - np.maximum(np.repeat(lefts[who], n), other_lefts[j])
+            near = np.flatnonzero(spans > np.repeat(wide[who], n))
+            left, right = np.repeat(who, n)[near], by_cell[j[near]]
             over = _ious(one[left], many[right]) > most
             found.append((left[over], right[over]))
     left, right = (np.concatenate(x) for x in zip(*found))
@@ -107,7 +117,7 @@ def _greedy(boxes: np.ndarray, most: float) -> np.ndarray:
     """
     alive, kept, done = np.ones(len(boxes), bool), np.zeros(0, np.int64), 0
     while done < len(boxes):
-        run = np.arange(done, min(len(boxes), done + max(256, done // 4)))
+        run = np.arange(done, min(len(boxes), done + max(256, done // 2)))
         alive[run[met(boxes[run], boxes[kept], most)[0]]] = False
         run = run[alive[run]]
         better, worse = met(boxes[run], boxes[run], most)
@@ -119,7 +129,7 @@ def _greedy(boxes: np.ndarray, most: float) -> np.ndarray:
             if alive[i]:
                 alive[worse[lo:hi]] = False
         kept = np.concatenate((kept, run[alive[run]]))
-        done = min(len(boxes), done + max(256, done // 4))
+        done = min(len(boxes), done + max(256, done // 2))
     return alive
 
 
@@ -255,16 +265,58 @@ def merge_frame(shape: tuple[int, int], boxes: np.ndarray, scores: np.ndarray, c
 
 
 def suppress(detections: DataFrame, most: float = 0.4, keys: tuple[str, ...] = ("movie", "frame"), per_class: bool = False) -> DataFrame:
-    """Non-maximum suppression of each frame's boxes; all columns of the kept ones."""
-    columns = [c for c in detections.columns if c not in keys]
-    plain = all(t in ("double", "float", "int", "bigint", "smallint", "tinyint") for c, t in detections.dtypes if c in columns)
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.iloc[np.lexsort([df[c].to_numpy() for c in columns[::-1]])] if plain else df.sort_values(columns, kind="stable")
-        kept = nms(df[["x1", "y1", "x2", "y2"]].to_numpy(float), df["score"].to_numpy(float), most, None, df["class_id"].to_numpy() if per_class else None)
-        return df.iloc[sorted(kept)]
+    """Non-maximum suppression of each frame's boxes; all columns of the kept ones.
 
-    return detections.groupBy(*keys).applyInPandas(run, detections.schema)
+    A task has one frame at a time. Frames come together by one long, a hash of their keys, as Spark sorts
+    whole numbers in linear time; frames of one hash are told apart by their keys. Partitions are as many as
+    the session says: merged by their bytes they would be too few and uneven for the work on them.
+    """
+    names = detections.columns
+    columns = [c for c in names if c not in keys]
+    plain = all(t in ("double", "float", "int", "bigint", "smallint", "tinyint") for c, t in detections.dtypes if c in columns)
+    mark = "_sr_frame"
+
+    def kept(frame: pa.Table) -> pa.Table:
+        if plain:
+            df = {c: frame.column(c).to_numpy() for c in columns}
+            order = np.lexsort([df[c] for c in columns[::-1]])
+        else:
+            df = frame.select(columns).to_pandas()
+            order = df.sort_values(columns, kind="stable").index.to_numpy()
+        own = {c: np.asarray(df[c])[order] for c in ("x1", "y1", "x2", "y2", "score", *["class_id"] * per_class)}
+        boxes = np.stack([own[c].astype(float) for c in ("x1", "y1", "x2", "y2")], axis=1)
+        return frame.take(np.sort(order[nms(boxes, own["score"].astype(float), most, None, own.get("class_id"))]))
+
+    def frames(held: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        code = np.zeros(len(rows), np.int64)
+        for c in keys:
+            own = rows.column(c).combine_chunks()
+            own = (pc.add(own, 0.0) if pa.types.is_floating(own.type) else own).dictionary_encode("encode")
+            if len(own.dictionary) > 1:
+                code = np.unique(code * len(own.dictionary) + own.indices.to_numpy(), return_inverse=True)[1]
+        rows = rows.select(names)
+        for k in range(int(code.max()) + 1):
+            yield from kept(rows.take(np.flatnonzero(code == k)) if code.any() else rows).to_batches()
+
+    def run(batches):
+        held, now = [], None
+        for batch in batches:
+            marks = batch.column(mark).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(marks)]
+            for a, z in zip(cuts, cuts[1:]):
+                if a < z and marks[a] != now:
+                    if held:
+                        yield from frames(held)
+                    held, now = [], marks[a]
+                held.append(batch.slice(a, z - a))
+        if held:
+            yield from frames(held)
+
+    parts = [F.col(f"`{c}`") for c in keys]
+    marked = detections.withColumn(mark, F.xxhash64(*(F.when(p == 0, F.lit(0.0)).otherwise(p) if t in ("double", "float") else p for p, t in zip(parts, (dict(detections.dtypes)[c] for c in keys)))))
+    count = int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return marked.repartition(count, mark).sortWithinPartitions(mark).mapInArrow(run, detections.schema)
 
 
 _OBJECT = "struct<label:int,class_id:int,score:double,x1:int,y1:int,x2:int,y2:int,area:int>"

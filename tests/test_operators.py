@@ -273,6 +273,27 @@ def test_nms_per_class_compares_near_boxes_only(monkeypatch):
     assert n / 2 < len(kept) < n and sum(looked) < 50 * n
 
 
+def test_nms_looks_closely_at_few_boxes_of_a_dense_frame(monkeypatch):
+    n, looked, area = 20_000, [], detect.box_area
+    monkeypatch.setattr(detect, "box_area", lambda b: looked.append(len(b)) or area(b))
+    r = np.random.default_rng(7)
+    at, classes = r.random((n, 2)) * 464, r.integers(0, 3, n)  # as dense as frames of lineitem 60 times sf0.1
+    boxes, scores = np.concatenate((at, at + 8 + 40 * r.random((n, 2))), axis=1), np.round(r.random(n), 1)
+    kept = detect.nms(boxes, scores, 0.4, classes=classes)
+    assert n / 4 < len(kept) < n / 2 and sum(looked) < 50 * n
+
+
+def test_suppress_gathers_frames_by_one_number(spark, monkeypatch):
+    rows = [(m, f, 0.0, 0.0, 9.0, 9.0, 0, s, "n") for m in ("a", "b", None) for f in (0.0, -0.0, float("nan"), None, 2.0) for s in (0.5, 0.25)]
+    df = spark.createDataFrame(rows, "movie string, frame double, x1 double, y1 double, x2 double, y2 double, class_id int, score double, note string")
+    out = detect.suppress(df, per_class=True)
+    assert out.schema == df.schema and out.count() == 12 and out.where("score = 0.5").count() == 12  # 0.0 and -0.0 are one frame
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_sr_frame" in plan and "FlatMapGroups" not in plan
+    monkeypatch.setattr(detect.F, "xxhash64", lambda *_: detect.F.lit(1).cast("long"))  # all frames in one run
+    assert sorted(map(str, detect.suppress(df, per_class=True).collect())) == sorted(map(str, out.collect()))
+
+
 def test_suppress_orders_ties_by_all_columns(spark):
     rows = [("a", 0, 0.0, 0.0, 9.0, 9.0, c, 0.5, note) for c, note in ((1, "y"), (0, "z"), (0, "x"))]
     df = spark.createDataFrame(rows, "movie string, frame int, x1 double, y1 double, x2 double, y2 double, class_id int, score double, note string")
