@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -399,6 +400,32 @@ def test_passage_whose_ends_are_in_other_documents(spark):
     assert {(r.doc_id, r.other_id, r.start, r.words) for r in got.itertuples()} >= {(2, 3, 70, 600), (3, 2, 70, 600), (2, 0, 70, 110), (0, 2, 0, 110)}
 
 
+def test_passages_need_bounded_memory():
+    import tracemalloc
+
+    memo = passages._WordHash()
+    n = 20_000
+    lo = np.arange(n) // 10
+    tracemalloc.start()
+    try:
+        passages.tokens(b" ".join(b"%d" % i for i in range(300_000)), memo)
+        assert len(memo) <= passages.MEMO_WORDS < 300_000
+        tracemalloc.reset_peak()
+        start = tracemalloc.get_traced_memory()[0]
+        met = passages.agreed(np.arange(n) % 6 + 1, lo, lo + 3000, lo, lo + 3000, 46, 6)  # a text that repeats itself: all meet
+        assert met.all() and tracemalloc.get_traced_memory()[1] - start < 64 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_stored_tables_can_be_dropped_early(spark):
+    with common.Scratch(spark) as temp:
+        one, two = (temp.stored(spark.range(3), "x") for _ in range(2))
+        files = one.inputFiles()
+        temp.drop(one)
+        assert two.count() == 3 and len(temp.paths) == 1 and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
 def test_passages_of_odd_rows(spark, odd, empty):
     got = passages.op5_query(odd).toPandas()
     assert len(got) == 0 and passages.op5_query(empty).count() == 0  # copies of short texts have no passage
