@@ -418,6 +418,47 @@ def test_passages_need_bounded_memory():
         tracemalloc.stop()
 
 
+def test_passages_take_no_call_for_each_word_window_or_diagonal():
+    """op5's CPU budget: Python's calls stay few while words, windows and diagonals are many."""
+    import sys
+
+    def calls(function, *args):
+        n = [0]
+
+        def count(frame, event, arg):
+            n[0] += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            out = function(*args)
+        finally:
+            sys.setprofile(None)
+        return n[0], out
+
+    n, a = calls(passages.tokens, " ".join(f"w{i}" for i in range(20_000)).encode(), passages._WordHash())
+    assert len(a) == len(np.unique(a)) == 19_996 and n < 500
+    n, windows = calls(passages.windows_of, [a], 46)
+    assert len(windows[0]) > 4000 and n < 3000
+    at = np.arange(1000, 1500)
+    n, (key, which) = calls(passages.further_keys, a, a, 0, at, at - np.arange(500) % 250 - 1, np.arange(1, 501, dtype=np.uint64), 128)
+    assert len(key) == 1000 and n < 1000
+
+
+def test_tokens_of_many_texts_are_those_of_each():
+    rng = random.Random(5)
+    bits = [b"a", b"A", b"\xc3\xa9", b" ", b"\n", b"\t", b"\x0b", b"\x1c", b"\x00", b"b" * 7, b"c" * 8, b"d" * 20, b"x" * 33, b"  "]
+    texts = [b"".join(rng.choice(bits) for _ in range(rng.randrange(60))) for _ in range(500)] + [None, b"", b" "]
+    memo, seen = passages._WordHash(), {}
+    for text, got in zip(texts, passages.tokens_of(texts, memo)):
+        words = (text or b"").lower().split()
+        assert got.tolist() == passages.tokens(text, memo).tolist() and len(got) == max(0, len(words) - 4)
+        for k, token in enumerate(got.tolist()):
+            assert seen.setdefault(tuple(words[k : k + 5]), token) == token
+    assert len(set(seen.values())) == len(seen) > 1500
+    passages.tokens(b" ".join(b"%040d" % i for i in range(2 * passages.MEMO_WORDS)), memo)
+    assert 0 < len(memo) <= passages.MEMO_WORDS
+
+
 def test_stored_tables_can_be_dropped_early(spark):
     with common.Scratch(spark) as temp:
         one, two = (temp.stored(spark.range(3), "x") for _ in range(2))
